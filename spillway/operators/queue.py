@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,14 +22,15 @@ QUEUE_COLUMNS = ["queue", "pos", "payload", "topic", "partition", "offset", "bat
 FIFO_ORDER = ["timestamp", "partition", "offset"]
 
 
-def route(messages: DataFrame, prefix: str = "", batch_id: int | None = 0) -> DataFrame:
+def route(messages: DataFrame, prefix: str = "", batch_id: int | Column | None = 0) -> DataFrame:
     """R13 without positions: every message wrapped and routed to its topic's
     queue. Narrow (no shuffle): projection only."""
+    batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
     return messages.select(
         queue_name(F.col("topic"), prefix).alias("queue"),
         envelope(payload_text(F.col("value"))).alias("payload"),
         "topic", "partition", "offset", "timestamp",
-        F.lit(batch_id).cast("bigint").alias("batch_id"))
+        batch.cast("bigint").alias("batch_id"))
 
 
 def with_positions(routed: DataFrame, order: Sequence[str] = FIFO_ORDER,

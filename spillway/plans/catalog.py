@@ -52,8 +52,8 @@ def ledger_all(spark, sf):
 def queue_append(spark, sf):
     from ..session import scratch_path
     from ..sinks.queue_sink import read_queue, write_queue
-    routed = (q.route(_messages(spark, sf), OPTIONS.prefix_redis, batch_id=None)
-              .withColumn("batch_id", F.floor(F.col("seq") / BATCH_SEQ).cast("bigint")))
+    routed = q.route(_messages(spark, sf), OPTIONS.prefix_redis,
+                     batch_id=F.floor(F.col("seq") / BATCH_SEQ))
     rows = q.with_positions(routed).select(*q.QUEUE_COLUMNS)
     path = scratch_path(spark, "queue-table")
     write_queue(rows, path)

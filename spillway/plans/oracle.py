@@ -85,7 +85,7 @@ def _gauge_lists() -> str:
   FROM events),
 folded AS (
   SELECT topic,
-         list_reduce(list(len ORDER BY seq), (acc, l) -> list_append(acc, {step}),
+         list_reduce(list(len ORDER BY seq), lambda acc, l: list_append(acc, {step}),
                      CAST([] AS BIGINT[])) AS gauges,
          list(seq ORDER BY seq) AS seqs,
          list(len ORDER BY seq) AS lens
