@@ -13,10 +13,15 @@ from pyspark.sql import functions as F
 from ..plans.joins import lookup_join
 
 
+def hour_tick(ts: F.Column) -> F.Column:
+    """Start of the hour of a wall-clock timestamp, kept as a wall-clock value."""
+    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+
+
 def hourly_depth_samples(messages: DataFrame) -> DataFrame:
     """Depth samples from messages: per topic and hour, the number of
     messages as the sampled length (partial aggregation)."""
-    return (messages.groupBy("topic", F.date_trunc("hour", "timestamp").alias("tick"))
+    return (messages.groupBy("topic", hour_tick(F.col("timestamp")).alias("tick"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("len")))
 
 
@@ -42,7 +47,7 @@ def gate_transitions(state: DataFrame) -> DataFrame:
 def with_gate(messages: DataFrame, state: DataFrame) -> DataFrame:
     """Messages with the gate state of their topic at their tick."""
     gates = state.select("topic", "tick", "is_open")
-    keyed = messages.withColumn("tick", F.date_trunc("hour", "timestamp"))
+    keyed = messages.withColumn("tick", hour_tick(F.col("timestamp")))
     # The gate table is one row per (topic, tick); its size is checked
     # before it is broadcast, so messages are never shuffled for this.
     joined = lookup_join(keyed, gates, ["topic", "tick"], "left", label="gate")

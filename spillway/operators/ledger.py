@@ -67,7 +67,8 @@ def tick_end(ts: Column, seconds: int) -> Column:
     """End of the ``seconds``-long publish tick containing ``ts`` (time-zone
     free arithmetic on a wall-clock timestamp; ``seconds`` divides 60)."""
     step = F.floor(F.second(ts) / seconds) * seconds + seconds
-    return F.date_trunc("minute", ts) + F.make_interval(secs=step.cast("int"))
+    start = F.date_trunc("minute", ts).cast("timestamp_ntz")
+    return start + F.make_interval(secs=step.cast("int"))
 
 
 def lag_timeline(ledger: DataFrame, tick_seconds: int = 10) -> DataFrame:

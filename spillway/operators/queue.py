@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.envelope import envelope, payload_text, queue_name
 from ..plans.joins import lookup_join
-from .scan import BIG, clamp_scan, row_index
+from .scan import floored_sum, row_index
 
 QUEUE_COLUMNS = ["queue", "pos", "payload", "topic", "partition", "offset", "batch_id"]
 
@@ -55,22 +55,21 @@ def queue_depth(queue: DataFrame, queues: Sequence[str]) -> DataFrame:
             .select("queue", F.coalesce("depth", F.lit(0)).cast("bigint").alias("depth")))
 
 
-def _head(queue: DataFrame) -> DataFrame:
-    return queue.groupBy("queue").agg(F.min("pos").alias("head"))
-
-
 def queue_pop(queue: DataFrame, n: int = 1) -> DataFrame:
     """The next ``n`` items of every queue, FIFO; an empty queue gives
-    nothing. Positions are dense, so this is a filter against each queue's
-    head (a per-queue aggregate) -- no window, no hot-queue task."""
-    heads = lookup_join(queue, _head(queue), ["queue"], "inner", label="queue-heads")
-    return heads.where(F.col("pos") < F.col("head") + n).drop("head")
+    nothing. A per-queue top-n: Spark plans it as a window group limit that
+    keeps at most ``n`` rows per queue in every task before the shuffle, so a
+    hot queue never moves more than ``n`` rows per task."""
+    w = Window.partitionBy("queue").orderBy("pos")
+    return queue.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
 def queue_remaining(queue: DataFrame, n: int = 1) -> DataFrame:
-    """R20 complement: what stays after popping ``n`` from every queue."""
-    heads = lookup_join(queue, _head(queue), ["queue"], "inner", label="queue-heads")
-    return heads.where(F.col("pos") >= F.col("head") + n).drop("head")
+    """R20 complement: what stays after popping ``n`` from every queue. An
+    anti-join against the popped items (at most ``n`` per queue, size-checked
+    before broadcast): the queue itself is never shuffled."""
+    popped = queue_pop(queue, n).select("queue", "pos")
+    return lookup_join(queue, popped, ["queue", "pos"], "left_anti", label="popped")
 
 
 def queue_ops(messages: DataFrame, pop_every_even: int = 2, prefix: str = "") -> DataFrame:
@@ -90,5 +89,4 @@ def queue_ops(messages: DataFrame, pop_every_even: int = 2, prefix: str = "") ->
 def depth_timeline(ops: DataFrame, chunked: bool | None = None) -> DataFrame:
     """Queue depth after every push/pop, never below zero
     (``depth = max(0, depth + delta)``), as a skew-safe clamp scan."""
-    return clamp_scan(ops, ["queue"], ["op_seq"], F.col("delta"), F.lit(0), F.lit(BIG),
-                      "depth", chunked=chunked)
+    return floored_sum(ops, ["queue"], ["op_seq"], F.col("delta"), "depth", chunked=chunked)

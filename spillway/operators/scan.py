@@ -122,6 +122,20 @@ def clamp_scan(df: DataFrame, group_cols: list[str], order_cols: list[str],
     return _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out)
 
 
+def floored_sum(df: DataFrame, group_cols: list[str], order_cols: list[str], d: Column,
+                out: str, chunked: bool | None = None) -> DataFrame:
+    """Running ``x_i = max(0, x_{i-1} + d_i)`` from 0 (a depth that cannot go
+    below zero). Per-group plan in closed form with two windows (JVM):
+    ``x = S - min(0, min(S so far))`` with ``S`` the running sum."""
+    if _use_chunks(df, group_cols, chunked):
+        return _chunked_scan(df, group_cols, order_cols, d, F.lit(0), F.lit(BIG), 0, out)
+    w = (Window.partitionBy(*group_cols).orderBy(*order_cols)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    running = df.withColumn("_s", F.sum(d.cast("bigint")).over(w))
+    return (running.withColumn(out, (F.col("_s") - F.least(F.lit(0), F.min("_s").over(w)))
+                               .cast("bigint")).drop("_s"))
+
+
 # ---------------------------------------------------------------- small groups
 
 def _grouped_scan(df, group_cols, order_cols, d, lo, hi, init, out):

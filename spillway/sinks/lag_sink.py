@@ -18,17 +18,17 @@ class LagTable:
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
         self.path = path or scratch_path(spark, "lag-table")
-        self._written = False
 
     def upsert(self, lag: DataFrame, version: int) -> None:
         (lag.select("topic", F.col("lag").cast("bigint").alias("lag"))
          .withColumn("version", F.lit(version).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("version").parquet(self.path))
-        self._written = True
 
     def read(self) -> DataFrame:
-        if not self._written:
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        if not root.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(root):
             return self.spark.createDataFrame([], "topic string, lag bigint, version bigint")
         log = self.spark.read.parquet(self.path)
         return log.groupBy("topic").agg(

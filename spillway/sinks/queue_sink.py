@@ -17,7 +17,10 @@ from ..operators.queue import QUEUE_COLUMNS
 
 
 def write_queue(rows: DataFrame, path: str) -> None:
-    (rows.select(*QUEUE_COLUMNS).write.mode("overwrite")
+    # Cluster by the partition columns first: one file per (queue, batch)
+    # instead of one per task and partition. Batches are bounded by the
+    # per-trigger limit, so no cluster is hot.
+    (rows.select(*QUEUE_COLUMNS).repartition("queue", "batch_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("queue", "batch_id").parquet(path))
 

@@ -26,16 +26,19 @@ def latest_stream(stream: DataFrame) -> DataFrame:
             .select(*KEY, "last.offset", "last.seq"))
 
 
-def _state_before(spark, path: str, batch_id: int) -> DataFrame | None:
-    """Compacted ledger state written by the last batch before ``batch_id``."""
-    try:
-        versions = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
-    last = versions.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return None
-    return versions.where(F.col("batch_id") == last).drop("batch_id")
+def _versions(spark, path: str) -> list[int]:
+    """Batch ids with a written state version (folder listing, no job)."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
+
+
+def _state(spark, path: str, version: int) -> DataFrame:
+    return spark.read.parquet(f"{path}/batch_id={version}")
 
 
 def publish_batch(state_path: str, lag_table: LagTable):
@@ -44,17 +47,18 @@ def publish_batch(state_path: str, lag_table: LagTable):
     overwrites the same version) and publish lag for the touched topics."""
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        updated = batch.select(*KEY, "offset", "seq")
-        prev = _state_before(spark, state_path, batch_id)
-        merged = updated if prev is None else prev.unionByName(updated)
-        state = (merged.groupBy(*KEY).agg(F.max_by(F.struct("offset", "seq"), "seq").alias("s"))
+        updated = batch.select(*KEY, "offset", "seq")  # at most one row per key
+        older = [v for v in _versions(spark, state_path) if v < batch_id]
+        merged = updated if not older else _state(spark, state_path, older[-1]) \
+            .unionByName(updated)
+        state = (merged.groupBy(*KEY)
+                 .agg(F.max_by(F.struct("offset", "seq"), "seq").alias("s"))
                  .select(*KEY, "s.offset", "s.seq"))
-        (state.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(state_path))
-        current = _state_before(spark, state_path, batch_id + 1)
+        state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
+        current = _state(spark, state_path, batch_id)
         touched = updated.select("topic").distinct()
-        lag_table.upsert(topic_lag(current).join(touched, "topic", "left_semi"), version=batch_id)
+        lag_table.upsert(topic_lag(current).join(touched, "topic", "left_semi"),
+                         version=batch_id)
 
     return publish
 
