@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.envelope import envelope, payload_text, queue_name
 from ..plans.joins import lookup_join
@@ -48,8 +47,8 @@ def queue_depth(queue: DataFrame, queues: Sequence[str]) -> DataFrame:
     """Items per configured queue; a queue with no items has depth 0.
     The configured list is the only driver-side input (the options)."""
     spark: SparkSession = queue.sparkSession
-    names = spark.createDataFrame([(q,) for q in queues],
-                                  T.StructType([T.StructField("queue", T.StringType())]))
+    names = spark.range(1).select(
+        F.explode(F.array(*[F.lit(name) for name in queues])).alias("queue"))
     counts = queue.groupBy("queue").agg(F.count(F.lit(1)).alias("depth"))
     return (names.join(counts, "queue", "left")
             .select("queue", F.coalesce("depth", F.lit(0)).cast("bigint").alias("depth")))

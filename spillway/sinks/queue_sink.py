@@ -19,8 +19,10 @@ from ..operators.queue import QUEUE_COLUMNS
 def write_queue(rows: DataFrame, path: str) -> None:
     # Cluster by the partition columns first: one file per (queue, batch)
     # instead of one per task and partition. Batches are bounded by the
-    # per-trigger limit, so no cluster is hot.
-    (rows.select(*QUEUE_COLUMNS).repartition("queue", "batch_id").write.mode("overwrite")
+    # per-trigger limit, so no cluster is hot. An explicit count keeps the
+    # write parallel (AQE would otherwise fold small data into one writer).
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (rows.select(*QUEUE_COLUMNS).repartition(n, "queue", "batch_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("queue", "batch_id").parquet(path))
 
