@@ -243,6 +243,11 @@ def pressure_timeline_q(spark, sf):
     return gauge.pressure_timeline(gauge.gauge_samples(table(spark, sf, "events")))
 
 
+def pressure_stream_q(spark, sf):
+    from ..streaming.gauge import pressure_stream
+    return pressure_stream(spark, table(spark, sf, "events"))
+
+
 def replay_q(spark, sf):
     msgs = _messages(spark, sf)
     return led.replay(msgs, led.next_positions(ledger(msgs)))
@@ -293,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "lag_stream": lag_stream,
     "pressure_gauge": pressure_gauge_q,
     "pressure_timeline": pressure_timeline_q,
+    "pressure_stream": pressure_stream_q,
     "replay": replay_q,
     "relay_counts": relay_counts_q,
 }

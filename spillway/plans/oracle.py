@@ -243,6 +243,9 @@ FROM per_topic""",
     + "SELECT topic, gauges[-1] AS gauge FROM folded",
     "pressure_timeline": _with(_gauge_lists()) + """
 SELECT topic, seqs[i] AS seq, lens[i] AS len, gauges[i] AS gauge
+FROM folded, range(1, len(seqs) + 1) AS r(i)""",
+    "pressure_stream": _with(_gauge_lists()) + """
+SELECT topic, seqs[i] AS seq, lens[i] AS len, gauges[i] AS gauge
 FROM folded, range(1, len(seqs) + 1) AS r(i)""",
     "replay": _with(MESSAGES, LEDGER, NEXT_POS) + f"""
 SELECT {', '.join('m.' + c for c in MSG_COLS.split(', '))}
