@@ -74,11 +74,12 @@ def batch_writer(path: str, options: RelayOptions, topic: str,
 def run_relay(spark: SparkSession, staged: str, topics: tuple[str, ...], options: RelayOptions,
               sink: str, checkpoint_root: str, probe: DepthProbe | None = None,
               fault: Callable[[int, int], None] | None = None, files_per_trigger: int = 1,
-              retries: list | None = None) -> None:
-    """Start one query per topic, drain everything available, wait for all."""
+              retries: list | None = None) -> dict[str, dict[str, int]]:
+    """Start one query per topic, drain everything available, wait for all;
+    returns the observed per-topic counters."""
     queries = []
     for topic in topics:
-        stream = file_stream(spark, staged, files_per_trigger, topic=topic)
+        stream = observe_relay(file_stream(spark, staged, files_per_trigger, topic=topic), topic)
         q = (stream.writeStream
              .foreachBatch(batch_writer(sink, options, topic, probe, fault, retries))
              .option("checkpointLocation", f"{checkpoint_root}/{topic}")
@@ -94,6 +95,28 @@ def run_relay(spark: SparkSession, staged: str, topics: tuple[str, ...], options
             errors.append(err)
     if errors:
         raise errors[0]
+    return relay_metrics(queries)
+
+
+def observe_relay(stream: DataFrame, topic: str) -> DataFrame:
+    """R31 on a stream: per-batch counters reported in the query progress."""
+    return stream.observe(f"relay_{topic}", F.count(F.lit(1)).alias("seen"),
+                          F.max("offset").alias("last_offset"))
+
+
+def relay_metrics(queries) -> dict[str, dict[str, int]]:
+    """Sum the observed counters of every finished relay query per topic."""
+    out: dict[str, dict[str, int]] = {}
+    for q in queries:
+        for progress in q.recentProgress:
+            for name, row in (progress.get("observedMetrics") or {}).items():
+                topic = name.removeprefix("relay_")
+                acc = out.setdefault(topic, {"seen": 0, "last_offset": -1, "batches": 0})
+                acc["seen"] += int(row["seen"])
+                acc["batches"] += 1
+                if row["last_offset"] is not None:
+                    acc["last_offset"] = max(acc["last_offset"], int(row["last_offset"]))
+    return out
 
 
 def staged_topics(spark: SparkSession, staged: str) -> tuple[str, ...]:

@@ -56,6 +56,17 @@ def test_sink_fault_retried_within_batch(spark):
     assert any(used == 2 for _, bid, used in retries if bid == 1)
 
 
+def test_relay_metrics_observed(spark):
+    msgs = load_messages(spark, SF_SMALL).where(F.col("topic").isin("click", "view"))
+    staged = stage_files(msgs, files=3, by_topic=True)
+    metrics = run_relay(spark, staged, staged_topics(spark, staged), OPTS,
+                        scratch_path(spark, "t-queue"), scratch_path(spark, "t-ckpt"))
+    want = {r.topic: (r["count"], r["last"]) for r in
+            msgs.groupBy("topic").agg(F.count(F.lit(1)).alias("count"),
+                                      F.max("offset").alias("last")).collect()}
+    assert {t: (m["seen"], m["last_offset"]) for t, m in metrics.items()} == want
+
+
 def test_sink_fault_fails_batch_then_restart_replays(spark):
     msgs = load_messages(spark, SF_SMALL).where(F.col("topic") == "click")
     staged = stage_files(msgs, files=3, by_topic=True)
