@@ -173,7 +173,9 @@ def _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out):
         .withColumn("_chunk", F.spark_partition_id())
     )
     extra = [T.StructField(c, T.LongType()) for c in ("_pos", "_pd", "_plo", "_phi")]
-    schema = T.StructType(ranged.schema.fields + extra)
+    kept = [f for f in ranged.schema.fields if f.name not in ("_d", "_lo", "_hi")]
+    schema = T.StructType(kept + extra)
+    kept_names = [f.name for f in kept]
 
     def local_fold(batches):
         carry_g, carry, pos = None, None, 0
@@ -189,10 +191,10 @@ def _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out):
                 cd, clo, chi = _then(carry, (pd_[first], plo[first], phi[first]))
                 pd_[first], plo[first], phi[first] = cd, clo, chi
             carry_g, carry = g[-1], (pd_[-1], plo[-1], phi[-1])
-            pdf = pdf.assign(_pos=np.arange(pos, pos + len(pdf), dtype=np.int64),
-                             _pd=pd_, _plo=plo, _phi=phi)
+            out_pdf = pdf[kept_names].assign(_pos=np.arange(pos, pos + len(pdf), dtype=np.int64),
+                                             _pd=pd_, _plo=plo, _phi=phi)
             pos += len(pdf)
-            yield pdf
+            yield out_pdf
 
     # Pin: chunk ids and local folds are tied to physical placement.
     local = pin(ranged.mapInPandas(local_fold, schema), "scan")
