@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import lookup_join
+from ..session import pin
 
 KEY = ["role", "topic", "partition"]
 
@@ -93,6 +94,26 @@ def lag_timeline(ledger: DataFrame, tick_seconds: int = 10) -> DataFrame:
         F.greatest(F.lit(0), F.sum("delta").over(w_topic)).cast("bigint").alias("lag"))
 
 
+def dense_lag_timeline(sparse: DataFrame, tick_seconds: int = 10) -> DataFrame:
+    """R25, every tick: from a topic's first published tick to the last tick
+    of any topic, the lag as last published (forward fill). The sparse
+    timeline is pinned once; its last tick comes back as one scalar and the
+    grid is generated per topic (``sequence`` + ``explode``), so its size is
+    topics x ticks, bounded by the time span, never by message volume."""
+    sparse = pin(sparse, "lag-timeline")
+    last = sparse.agg(F.max("tick")).first()[0]
+    if last is None:
+        return sparse
+    step = F.make_interval(secs=F.lit(tick_seconds))
+    grid = sparse.groupBy("topic").agg(F.min("tick").alias("first")).select(
+        "topic", F.explode(F.sequence("first", F.lit(last).cast("timestamp_ntz"), step))
+        .alias("tick"))
+    w = (Window.partitionBy("topic").orderBy("tick")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (grid.join(sparse, ["topic", "tick"], "left")
+            .select("topic", "tick", F.last("lag", ignorenulls=True).over(w).alias("lag")))
+
+
 def replay(messages: DataFrame, positions: DataFrame) -> DataFrame:
     """Re-read each partition from a position (``next_offset``; none =
     from the beginning). ``positions`` is one row per partition; its size is

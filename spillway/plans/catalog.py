@@ -223,6 +223,10 @@ def lag_timeline(spark, sf):
     return led.lag_timeline(ledger(_messages(spark, sf)), LAG_TICK_S)
 
 
+def lag_timeline_dense(spark, sf):
+    return led.dense_lag_timeline(lag_timeline(spark, sf), LAG_TICK_S)
+
+
 # ------------------------------------------------------------- streaming, state
 
 def relay_stream(spark, sf):
@@ -293,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "gate_state": gate_state_q,
     "gate_transitions": gate_transitions_q,
     "lag_timeline": lag_timeline,
+    "lag_timeline_dense": lag_timeline_dense,
     # streaming and state
     "relay_stream": relay_stream,
     "lag_stream": lag_stream,

@@ -236,6 +236,37 @@ SELECT topic, tick,
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
             AS BIGINT) AS lag
 FROM per_topic""",
+    "lag_timeline_dense": _with(MESSAGES, LEDGER) + """,
+ticked AS (
+  SELECT *, date_trunc('minute', "timestamp")
+            + to_seconds(CAST(floor(second("timestamp") / 10) * 10 + 10 AS BIGINT)) AS tick
+  FROM ledger),
+per_tick AS (
+  SELECT role, topic, "partition", tick, max_by("offset", seq) AS last
+  FROM ticked GROUP BY role, topic, "partition", tick),
+changes AS (
+  SELECT *, last - lag(last, 1, 0) OVER (PARTITION BY role, topic, "partition" ORDER BY tick)
+         AS change
+  FROM per_tick),
+per_topic AS (
+  SELECT topic, tick, sum(CASE WHEN role = 'all' THEN change ELSE -change END) AS delta
+  FROM changes GROUP BY topic, tick),
+sparse AS (
+  SELECT topic, tick,
+         CAST(greatest(0, sum(delta) OVER (PARTITION BY topic ORDER BY tick
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+              AS BIGINT) AS lag
+  FROM per_topic),
+bounds AS (SELECT topic, min(tick) AS first_tick FROM sparse GROUP BY topic),
+grid AS (
+  SELECT b.topic, unnest(generate_series(b.first_tick, (SELECT max(tick) FROM sparse),
+                                         INTERVAL 10 SECOND)) AS tick
+  FROM bounds b)
+SELECT g.topic, g.tick,
+       last_value(s.lag IGNORE NULLS) OVER (PARTITION BY g.topic ORDER BY g.tick
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         AS lag
+FROM grid g LEFT JOIN sparse s USING (topic, tick)""",
     "relay_stream": _with(MESSAGES, ROUTED)
     + 'SELECT queue, payload, topic, "partition", "offset" FROM routed',
     "lag_stream": _with(MESSAGES, LEDGER, LATEST, LAG) + "SELECT topic, lag FROM lag_tbl",
