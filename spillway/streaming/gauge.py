@@ -17,7 +17,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from ..operators.gauge import gauge_samples
 from ..operators.scan import compose_prefix
 from ..session import scratch_path
-from .source import file_stream, stage_files
+from .source import file_stream, stage_files, stream_partitions
 
 SAMPLE_SCHEMA = T.StructType([T.StructField("topic", T.StringType()),
                               T.StructField("seq", T.LongType()),
@@ -54,9 +54,10 @@ def pressure_stream(spark: SparkSession, events: DataFrame, files: int = 4) -> D
     """R29 streamed and drained: the gauge timeline from staged samples."""
     staged = stage_files(gauge_samples(events), files=files)
     sink = scratch_path(spark, "gauge-out")
-    q = (gauge_stream(file_stream(spark, staged, schema=SAMPLE_SCHEMA)).writeStream
-         .format("parquet").outputMode("append").option("path", sink)
-         .option("checkpointLocation", scratch_path(spark, "gauge-ckpt"))
-         .trigger(availableNow=True).start())
+    with stream_partitions(spark):
+        q = (gauge_stream(file_stream(spark, staged, schema=SAMPLE_SCHEMA)).writeStream
+             .format("parquet").outputMode("append").option("path", sink)
+             .option("checkpointLocation", scratch_path(spark, "gauge-ckpt"))
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink).select("topic", "seq", "len", "gauge")

@@ -16,7 +16,7 @@ from ..operators.ledger import KEY, topic_lag
 from ..session import scratch_path
 from ..sinks.lag_sink import LagTable
 from ..sources.messages import FORMAL_CUT, ledger
-from .source import file_stream, stage_files
+from .source import file_stream, stage_files, stream_partitions
 
 
 def latest_stream(stream: DataFrame) -> DataFrame:
@@ -69,9 +69,10 @@ def lag_stream(spark: SparkSession, messages: DataFrame, files: int = 4,
     staged = stage_files(messages, files=files)
     table = LagTable(spark)
     state_path = scratch_path(spark, "ledger-state")
-    q = (latest_stream(file_stream(spark, staged)).writeStream.outputMode("update")
-         .foreachBatch(publish_batch(state_path, table))
-         .option("checkpointLocation", scratch_path(spark, "lag-ckpt"))
-         .trigger(availableNow=True).start())
+    with stream_partitions(spark):
+        q = (latest_stream(file_stream(spark, staged)).writeStream.outputMode("update")
+             .foreachBatch(publish_batch(state_path, table))
+             .option("checkpointLocation", scratch_path(spark, "lag-ckpt"))
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return table.read().select("topic", "lag")

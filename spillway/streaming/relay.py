@@ -21,7 +21,7 @@ from ..operators.queue import QUEUE_COLUMNS, route, with_positions
 from ..options import RelayOptions
 from ..session import scratch_path
 from ..sinks.queue_sink import read_queue, with_retry, write_queue
-from .source import file_stream, stage_files
+from .source import file_stream, stage_files, stream_partitions
 
 DepthProbe = Callable[[str], "int | None"]
 
@@ -78,15 +78,17 @@ def run_relay(spark: SparkSession, staged: str, topics: tuple[str, ...], options
     """Start one query per topic, drain everything available, wait for all;
     returns the observed per-topic counters."""
     queries = []
-    for topic in topics:
-        stream = observe_relay(file_stream(spark, staged, files_per_trigger, topic=topic), topic)
-        q = (stream.writeStream
-             .foreachBatch(batch_writer(sink, options, topic, probe, fault, retries))
-             .option("checkpointLocation", f"{checkpoint_root}/{topic}")
-             .trigger(availableNow=True)
-             .queryName(f"relay_{topic}_{abs(hash(checkpoint_root)) % 10**8}")
-             .start())
-        queries.append(q)
+    with stream_partitions(spark):
+        for topic in topics:
+            stream = observe_relay(file_stream(spark, staged, files_per_trigger, topic=topic),
+                                   topic)
+            q = (stream.writeStream
+                 .foreachBatch(batch_writer(sink, options, topic, probe, fault, retries))
+                 .option("checkpointLocation", f"{checkpoint_root}/{topic}")
+                 .trigger(availableNow=True)
+                 .queryName(f"relay_{topic}_{abs(hash(checkpoint_root)) % 10**8}")
+                 .start())
+            queries.append(q)
     errors = []
     for q in queries:
         try:
@@ -142,9 +144,10 @@ def drain_messages(spark: SparkSession, messages: DataFrame, files: int = 4) ->
     """R01 drained: messages through a bounded file stream into a Parquet sink."""
     staged = stage_files(messages, files=files)
     sink = scratch_path(spark, "stream-out")
-    q = (file_stream(spark, staged).writeStream.format("parquet")
-         .option("path", sink).option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
-         .trigger(availableNow=True).start())
+    with stream_partitions(spark):
+        q = (file_stream(spark, staged).writeStream.format("parquet")
+             .option("path", sink).option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink).select(
         "topic", "partition", "offset", "timestamp", "value", F.col("seq"))
