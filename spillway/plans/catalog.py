@@ -17,7 +17,7 @@ from ..functions.ledger_keys import (key_is_ledger, key_partition, key_role_is_a
 from ..operators import gate, gauge, ledger as led, queue as q, routing
 from ..operators.scan import row_index
 from ..options import RelayOptions
-from ..sources.messages import (MESSAGE_SCHEMA, document_payloads, ledger, load_messages)
+from ..sources.messages import document_payloads, ledger, load_messages
 from ..sources.tables import table
 
 # Fixed test parameters (kept identical in the oracle SQL).
@@ -308,4 +308,4 @@ QUERIES: dict[str, Query] = {
     "relay_counts": relay_counts_q,
 }
 
-__all__ = ["QUERIES", "OPTIONS", "MESSAGE_SCHEMA"]
+__all__ = ["QUERIES", "OPTIONS"]

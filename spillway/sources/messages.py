@@ -59,21 +59,6 @@ def document_payloads(documents: DataFrame) -> DataFrame:
                             F.col("doc_id").alias("seq"))
 
 
-def conversation_messages(conversations: DataFrame, chunked: bool | None = None) -> DataFrame:
-    """conversations -> one naturally ordered FIFO per role.
-
-    topic=role, one partition, offset = position in (conv_id, turn) order.
-    """
-    base = conversations.select(
-        F.col("role").alias("topic"), F.lit(0).cast("int").alias("partition"),
-        F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.col("text").alias("value"),
-        F.col("conv_id"), F.col("turn"))
-    numbered = row_index(base, ["topic"], ["conv_id", "turn"], "offset", chunked=chunked)
-    return numbered.select(
-        "topic", "partition", "offset", "timestamp", "value",
-        (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("seq"))
-
-
 def ledger(messages: DataFrame, formal_cut: dt.datetime | Column = FORMAL_CUT) -> DataFrame:
     """Offset ledger with two roles: ``all`` sees every message, ``formal``
     only the ones really consumed (before the cut). One pass over messages."""

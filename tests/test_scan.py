@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from spillway.operators import gauge, queue as q
-from spillway.operators.scan import BIG, clamp_scan, compose_prefix, row_index
+from spillway.operators.scan import BIG, clamp_scan, compose_prefix, row_index, running_sum
 from spillway.sources.messages import messages_from_events
 from spillway.sources.tables import table
 
@@ -76,3 +76,11 @@ def test_depth_and_gauge_chunked_equal_on_events(spark):
     s = gauge.gauge_samples(events)
     a, b = gauge.pressure_timeline(s, chunked=False), gauge.pressure_timeline(s, chunked=True)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_running_sum_chunked_equals_window(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 3).alias("g"), "id",
+                                     ((F.col("id") * 37) % 11 - 5).alias("v"))
+    a = running_sum(df, ["g"], ["id"], F.col("v"), "s", chunked=False)
+    b = running_sum(df, ["g"], ["id"], F.col("v"), "s", chunked=True)
+    assert a.exceptAll(b).count() == 0 and b.count() == 3000
