@@ -111,3 +111,8 @@ class FileListStore:
 
     def length(self, queue: str) -> int:
         return len(self._items(queue))
+
+
+def store_depth_probe(store: ListStore) -> Callable[[str], int]:
+    """Gate probe for the relay stream: the list's current length."""
+    return store.length
