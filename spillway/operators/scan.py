@@ -16,7 +16,8 @@ largest group's row count, one aggregate job):
   group keys and a window function (JVM) or a grouped pandas scan;
 * otherwise: range-partition on (group, order) keys -- balanced even when
   one group holds a third of all rows, because the key is unique -- fold
-  each range in Arrow batches, pin the result in the shared folder, combine
+  each range (positions: row ids in the JVM; other steps: Arrow batches and
+  a vectorised doubling scan), pin the result in the shared folder, combine
   the per-(range, group) totals (at most ranges + groups rows, checked before
   broadcasting) and apply them in a broadcast join without a second shuffle.
 """
@@ -99,8 +100,7 @@ def row_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
     if not _use_chunks(df, group_cols, chunked):
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("bigint"))
-    res = _chunked_scan(df, group_cols, order_cols, F.lit(1), F.lit(-BIG), F.lit(BIG), 0, out)
-    return res.withColumn(out, (F.col(out) - 1).cast("bigint"))
+    return _chunked_index(df, group_cols, order_cols, out)
 
 
 def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -160,6 +160,31 @@ def _grouped_scan(df, group_cols, order_cols, d, lo, hi, init, out):
 
 # ---------------------------------------------------------------- large groups
 
+def _chunked_index(df, group_cols, order_cols, out):
+    """Dense positions for huge groups, all in the JVM. After the range sort,
+    ``monotonically_increasing_id`` is consecutive inside each range, so a
+    position is (rows of the group in earlier ranges) + (id - first id of the
+    group in this range). The ids are frozen by pinning; the per-(range,
+    group) counts are at most ranges + groups rows."""
+    spark = df.sparkSession
+    n = conf_int(spark, CONF_SCAN_CHUNKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = [*group_cols, *order_cols]
+    names = df.columns
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_chunk", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    local = pin(ranged, "index")
+    counts = local.groupBy("_chunk", *group_cols).agg(F.min("_mid").alias("_first"),
+                                                      F.count(F.lit(1)).alias("_n"))
+    earlier = (Window.partitionBy(*group_cols).orderBy("_chunk")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    bases = counts.select("_chunk", *group_cols, "_first",
+                          F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    joined = lookup_join(local, bases, ["_chunk", *group_cols], "inner", label="index-bases")
+    position = F.col("_base") + F.col("_mid") - F.col("_first")
+    return joined.select(*[F.col(c) for c in names], position.cast("bigint").alias(out))
+
+
 def _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out):
     spark = df.sparkSession
     n = conf_int(spark, CONF_SCAN_CHUNKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
