@@ -42,10 +42,15 @@ def _messages(spark, sf):
     return load_messages(spark, sf)
 
 
+def _offsets(spark, sf):
+    """Messages without payloads, for offset-only queries."""
+    return load_messages(spark, sf, payload=False)
+
+
 # ------------------------------------------------------------- scans / sinks
 
 def ledger_all(spark, sf):
-    return ledger(_messages(spark, sf)).where(F.col("role") == "all") \
+    return ledger(_offsets(spark, sf)).where(F.col("role") == "all") \
         .select("role", "topic", "partition", "offset", "seq")
 
 
@@ -64,7 +69,7 @@ def queue_append(spark, sf):
 
 def lag_table_upsert(spark, sf):
     from ..sinks.lag_sink import LagTable
-    msgs = _messages(spark, sf)
+    msgs = _offsets(spark, sf)
     lt = LagTable(spark)
     old = led.topic_lag(led.latest_offsets(ledger(msgs.where(F.col("timestamp") < OLD_LAG_CUT))))
     lt.upsert(old, version=1)
@@ -97,13 +102,13 @@ def queue_name_q(spark, sf):
 
 
 def ledger_key_q(spark, sf):
-    latest = led.latest_offsets(ledger(_messages(spark, sf)))
+    latest = led.latest_offsets(ledger(_offsets(spark, sf)))
     return latest.select(ledger_key(F.col("role"), F.col("partition"), F.col("topic")).alias("key"),
                          "offset")
 
 
 def ledger_key_decode(spark, sf):
-    msgs = _messages(spark, sf)
+    msgs = _offsets(spark, sf)
     keyed = led.latest_offsets(ledger(msgs)).select(
         ledger_key(F.col("role"), F.col("partition"), F.col("topic")).alias("key"), "offset")
     # Bare-topic entries share the map (gauge values) and must be skipped.
@@ -116,7 +121,7 @@ def ledger_key_decode(spark, sf):
 
 
 def offset_parse(spark, sf):
-    msgs = _messages(spark, sf)
+    msgs = _offsets(spark, sf)
     snap = led.next_positions(ledger(msgs, formal_cut=F.lit(EARLY_CUT).cast("timestamp_ntz")))
     texts = (led.watermarks(msgs).join(snap, ["topic", "partition"], "left")
              .select("topic", "partition", offset_text(F.col("next_offset")).alias("offset_text")))
@@ -164,24 +169,24 @@ def relay_batch_q(spark, sf):
 # ------------------------------------------------------------- aggregations
 
 def latest_offset(spark, sf):
-    return led.latest_offsets(ledger(_messages(spark, sf)))
+    return led.latest_offsets(ledger(_offsets(spark, sf)))
 
 
 def topic_lag(spark, sf):
-    return led.topic_lag(led.latest_offsets(ledger(_messages(spark, sf))))
+    return led.topic_lag(led.latest_offsets(ledger(_offsets(spark, sf))))
 
 
 def partition_lag(spark, sf):
-    msgs = _messages(spark, sf)
+    msgs = _offsets(spark, sf)
     return led.partition_lag(msgs, ledger(msgs))
 
 
 def watermarks(spark, sf):
-    return led.watermarks(_messages(spark, sf))
+    return led.watermarks(_offsets(spark, sf))
 
 
 def committed_position(spark, sf):
-    msgs = _messages(spark, sf)
+    msgs = _offsets(spark, sf)
     return led.committed_position(msgs, ledger(msgs))
 
 
@@ -208,19 +213,19 @@ def queue_position(spark, sf):
 
 
 def queue_depth_timeline(spark, sf):
-    return q.depth_timeline(q.queue_ops(_messages(spark, sf), prefix=OPTIONS.prefix_redis))
+    return q.depth_timeline(q.queue_ops(_offsets(spark, sf), prefix=OPTIONS.prefix_redis))
 
 
 def gate_state_q(spark, sf):
-    return _gate_state(_messages(spark, sf))
+    return _gate_state(_offsets(spark, sf))
 
 
 def gate_transitions_q(spark, sf):
-    return gate.gate_transitions(_gate_state(_messages(spark, sf)))
+    return gate.gate_transitions(_gate_state(_offsets(spark, sf)))
 
 
 def lag_timeline(spark, sf):
-    return led.lag_timeline(ledger(_messages(spark, sf)), LAG_TICK_S)
+    return led.lag_timeline(ledger(_offsets(spark, sf)), LAG_TICK_S)
 
 
 def lag_timeline_dense(spark, sf):
@@ -236,7 +241,7 @@ def relay_stream(spark, sf):
 
 def lag_stream(spark, sf):
     from ..streaming.lag import lag_stream as run
-    return run(spark, _messages(spark, sf))
+    return run(spark, _offsets(spark, sf))
 
 
 def pressure_gauge_q(spark, sf):
@@ -258,7 +263,7 @@ def replay_q(spark, sf):
 
 
 def relay_counts_q(spark, sf):
-    msgs = _messages(spark, sf)
+    msgs = _offsets(spark, sf)
     return routing.relay_counts(gate.with_gate(msgs, _gate_state(msgs)))
 
 

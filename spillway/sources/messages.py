@@ -34,23 +34,30 @@ FORMAL_CUT = dt.datetime(2024, 1, 10)
 
 
 def messages_from_events(events: DataFrame, partitions: int = PARTITIONS,
-                         chunked: bool | None = None) -> DataFrame:
+                         chunked: bool | None = None, payload: bool = True) -> DataFrame:
     """events -> messages: topic=event_type, partition=user_id % n,
-    offset = position in (ts, event_id) order within (topic, partition)."""
-    base = events.select(
+    offset = position in (ts, event_id) order within (topic, partition).
+
+    ``payload=False`` leaves the value out (offset-only readers: ledgers, lag,
+    gates). The window plan would prune it anyway, but the skew-safe plan
+    pins its input eagerly, so the projection has to be explicit."""
+    cols = [
         F.col("event_type").alias("topic"),
         (F.col("user_id") % partitions).cast("int").alias("partition"),
         F.col("ts").cast("timestamp_ntz").alias("timestamp"),
-        F.col("props").alias("value"),
-        F.col("event_id").alias("seq"),
-    )
+    ]
+    if payload:
+        cols.append(F.col("props").alias("value"))
+    base = events.select(*cols, F.col("event_id").alias("seq"))
     with_offset = row_index(base, ["topic", "partition"], ["timestamp", "seq"], "offset",
                             chunked=chunked)
-    return with_offset.select(*MESSAGE_SCHEMA.fieldNames())
+    names = [n for n in MESSAGE_SCHEMA.fieldNames() if payload or n != "value"]
+    return with_offset.select(*names)
 
 
-def load_messages(spark: SparkSession, sf_dir: str, chunked: bool | None = None) -> DataFrame:
-    return messages_from_events(table(spark, sf_dir, "events"), chunked=chunked)
+def load_messages(spark: SparkSession, sf_dir: str, chunked: bool | None = None,
+                  payload: bool = True) -> DataFrame:
+    return messages_from_events(table(spark, sf_dir, "events"), chunked=chunked, payload=payload)
 
 
 def document_payloads(documents: DataFrame) -> DataFrame:
@@ -70,4 +77,4 @@ def ledger(messages: DataFrame, formal_cut: dt.datetime | Column = FORMAL_CUT) -
 
 
 def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger(load_messages(spark, sf_dir))
+    return ledger(load_messages(spark, sf_dir, payload=False))
