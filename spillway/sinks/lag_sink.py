@@ -15,9 +15,10 @@ from ..session import scratch_path
 
 
 class LagTable:
-    def __init__(self, spark: SparkSession, path: str | None = None):
+    def __init__(self, spark: SparkSession, path: str | None = None,
+                 name: str = "topics_queue_len"):
         self.spark = spark
-        self.path = path or scratch_path(spark, "lag-table")
+        self.path = path or scratch_path(spark, name)
 
     def upsert(self, lag: DataFrame, version: int) -> None:
         (lag.select("topic", F.col("lag").cast("bigint").alias("lag"))

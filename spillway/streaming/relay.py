@@ -11,6 +11,7 @@ sink's per-batch overwrite turns into an idempotent write.
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 
@@ -44,16 +45,18 @@ def wait_until_open(queue: str, probe: DepthProbe, cache_size: int, poll_s: floa
         time.sleep(poll_s)
 
 
-def batch_writer(path: str, options: RelayOptions, topic: str,
+def batch_writer(path: str, options: RelayOptions, topics: tuple[str, ...],
                  probe: DepthProbe | None = None,
                  fault: Callable[[int, int], None] | None = None,
                  retries: list | None = None):
-    """``foreachBatch`` function: gate wait, then an idempotent queue write."""
-    queue = options.queue_of(topic)
+    """``foreachBatch`` function: gate wait for every queue of the group, then
+    an idempotent queue write."""
+    queues = [options.queue_of(t) for t in topics]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if probe is not None:
-            wait_until_open(queue, probe, options.cache_size, options.controller_time_s)
+            for queue in queues:  # a group waits for its fullest queue
+                wait_until_open(queue, probe, options.cache_size, options.controller_time_s)
         rows = with_positions(route(batch, options.prefix_redis, batch_id=batch_id),
                               chunked=False).select(*QUEUE_COLUMNS)
         tries = {"n": 0}
@@ -66,27 +69,48 @@ def batch_writer(path: str, options: RelayOptions, topic: str,
 
         used = with_retry(attempt, options.sink_max_attempts, options.sink_retry_delay_s)
         if retries is not None:
-            retries.append((topic, batch_id, used))
+            retries.append((",".join(topics), batch_id, used))
 
     return write
 
 
+def _stable_id(text: str) -> str:
+    """Same id in every process (checkpoint folders must survive restarts)."""
+    return hashlib.sha1(text.encode()).hexdigest()[:16]
+
+
+def topic_groups(topics: tuple[str, ...], per_query: int = 1) -> list[tuple[str, ...]]:
+    """Topics split into groups of ``per_query``; one streaming query each."""
+    return [tuple(topics[i:i + per_query]) for i in range(0, len(topics), per_query)]
+
+
+def group_stream(spark: SparkSession, staged: str, group: tuple[str, ...],
+                 files_per_trigger: int) -> DataFrame:
+    if len(group) == 1:
+        return file_stream(spark, staged, files_per_trigger, topic=group[0])
+    # The topic folders of a by-topic staging are partitions: the filter
+    # prunes every other topic's files.
+    return (file_stream(spark, staged, files_per_trigger)
+            .where(F.col("topic").isin(list(group))))
+
+
 def run_relay(spark: SparkSession, staged: str, topics: tuple[str, ...], options: RelayOptions,
               sink: str, checkpoint_root: str, probe: DepthProbe | None = None,
               fault: Callable[[int, int], None] | None = None, files_per_trigger: int = 1,
-              retries: list | None = None) -> dict[str, dict[str, int]]:
-    """Start one query per topic, drain everything available, wait for all;
-    returns the observed per-topic counters."""
+              retries: list | None = None, topics_per_query: int = 1
+              ) -> dict[str, dict[str, int]]:
+    """Start one query per topic group, drain everything available, wait for
+    all; returns the observed per-group counters."""
     queries = []
     with stream_partitions(spark):
-        for topic in topics:
-            stream = observe_relay(file_stream(spark, staged, files_per_trigger, topic=topic),
-                                   topic)
+        for group in topic_groups(topics, topics_per_query):
+            name = "+".join(group)
+            stream = observe_relay(group_stream(spark, staged, group, files_per_trigger), name)
             q = (stream.writeStream
-                 .foreachBatch(batch_writer(sink, options, topic, probe, fault, retries))
-                 .option("checkpointLocation", f"{checkpoint_root}/{topic}")
+                 .foreachBatch(batch_writer(sink, options, group, probe, fault, retries))
+                 .option("checkpointLocation", f"{checkpoint_root}/{_stable_id(name)}")
                  .trigger(availableNow=True)
-                 .queryName(f"relay_{topic}_{abs(hash(checkpoint_root)) % 10**8}")
+                 .queryName(f"relay_{_stable_id(checkpoint_root + name)}")
                  .start())
             queries.append(q)
     errors = []

@@ -67,6 +67,20 @@ def test_relay_metrics_observed(spark):
     assert {t: (m["seen"], m["last_offset"]) for t, m in metrics.items()} == want
 
 
+def test_grouped_relay_equals_per_topic(spark):
+    msgs = load_messages(spark, SF_SMALL)
+    staged = stage_files(msgs, files=3, by_topic=True)
+    topics = staged_topics(spark, staged)
+    _, single, _ = _run(spark, staged, OPTS)
+    sink = scratch_path(spark, "t-queue")
+    metrics = run_relay(spark, staged, topics, OPTS, sink, scratch_path(spark, "t-ckpt"),
+                        topics_per_query=2)
+    assert len(metrics) == 3 and sum(m["seen"] for m in metrics.values()) == msgs.count()
+    a = read_queue(spark, single).select("queue", "payload", "topic", "partition", "offset")
+    b = read_queue(spark, sink).select("queue", "payload", "topic", "partition", "offset")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_sink_fault_fails_batch_then_restart_replays(spark):
     msgs = load_messages(spark, SF_SMALL).where(F.col("topic") == "click")
     staged = stage_files(msgs, files=3, by_topic=True)
