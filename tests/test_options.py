@@ -64,3 +64,16 @@ def test_relay_waits_on_a_full_store_then_writes_everything(spark):
     got = read_queue(spark, sink).select("queue", "payload", "topic", "partition", "offset")
     want = route(msgs, "q:").select("queue", "payload", "topic", "partition", "offset")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_kafka_rows_are_repaired_not_failed(spark):
+    import datetime as dt
+    from spillway.streaming.source import from_kafka_rows
+    raw = spark.createDataFrame(
+        [(None, bytearray(b"a\xffb"), "t", 0, 5, dt.datetime(2024, 1, 1), 0),
+         (None, None, "t", 0, 6, dt.datetime(2024, 1, 1), 0)],
+        "key binary, value binary, topic string, partition int, offset bigint, "
+        "timestamp timestamp, timestampType int")
+    rows = from_kafka_rows(raw, with_repair_flag=True).orderBy("offset").collect()
+    assert rows[0].value == "a\ufffdb" and rows[0].repaired is True and rows[0].seq == 5
+    assert rows[1].value is None and rows[1].repaired is False
