@@ -147,3 +147,15 @@ def test_lag_upsert(spark):
     lt.upsert(spark.createDataFrame([("a", 5), ("b", 2)], "topic string, lag bigint"), 1)
     lt.upsert(spark.createDataFrame([("a", 0)], "topic string, lag bigint"), 2)
     assert {r.topic: r.lag for r in lt.read().collect()} == {"a": 0, "b": 2}
+
+
+def test_partition_never_consumed_counts_fully(spark):
+    # formal never saw partition 1: its contribution is the last `all` offset.
+    lg = _ledger(spark, [("all", "t", 0, 10, 1), ("all", "t", 1, 5, 2),
+                         ("formal", "t", 0, 3, 3)])
+    assert led.topic_lag(led.latest_offsets(lg)).first().lag == 12
+
+
+def test_other_roles_subtract_like_formal(spark):
+    lg = _ledger(spark, [("all", "t", 0, 10, 1), ("replica", "t", 0, 4, 2)])
+    assert led.topic_lag(led.latest_offsets(lg)).first().lag == 6
