@@ -12,9 +12,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.queue import QUEUE_COLUMNS
 
+QUEUE_SCHEMA = T.StructType([
+    T.StructField("queue", T.StringType()),
+    T.StructField("pos", T.LongType()),
+    T.StructField("payload", T.StringType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
 
 def write_queue(rows: DataFrame, path: str) -> None:
     # Cluster by the partition columns first: one file per (queue, batch)
