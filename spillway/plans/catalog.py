@@ -244,6 +244,32 @@ def lag_stream(spark, sf):
     return run(spark, _offsets(spark, sf))
 
 
+def lag_service(spark, sf):
+    """Relay the consumed messages (before the formal cut) into a queue table,
+    then keep lag from topic positions (all) and that table (formal)."""
+    from ..session import scratch_path
+    from ..sinks.lag_sink import LagTable
+    from ..sources.messages import FORMAL_CUT
+    from ..streaming.relay import group_stream, staged_topics
+    from ..streaming.service import consumed_stream, start_lag, start_relay
+    from ..streaming.source import file_stream, stage_files
+    msgs = _messages(spark, sf)
+    consumed = msgs.where(F.col("timestamp") < F.lit(FORMAL_CUT).cast("timestamp_ntz"))
+    staged = stage_files(consumed, files=4, by_topic=True)
+    opts = RelayOptions(topics=staged_topics(spark, staged), prefix_redis=OPTIONS.prefix_redis)
+    queue_path = scratch_path(spark, "service-queue")
+    for query in start_relay(spark, opts, queue_path, scratch_path(spark, "service-relay"),
+                             source=lambda group: group_stream(spark, staged, group, 1)):
+        query.awaitTermination()
+    positions = file_stream(spark, stage_files(_offsets(spark, sf), files=4)).select(
+        "topic", "partition", "offset", "seq")
+    table = LagTable(spark)
+    start_lag(spark, opts, positions, consumed_stream(spark, queue_path), table,
+              scratch_path(spark, "service-state"), scratch_path(spark, "service-lag"),
+              drain=True).awaitTermination()
+    return table.read().select("topic", "lag")
+
+
 def pressure_gauge_q(spark, sf):
     return gauge.pressure_gauge(gauge.gauge_samples(table(spark, sf, "events")))
 
@@ -306,6 +332,7 @@ QUERIES: dict[str, Query] = {
     # streaming and state
     "relay_stream": relay_stream,
     "lag_stream": lag_stream,
+    "lag_service": lag_service,
     "pressure_gauge": pressure_gauge_q,
     "pressure_timeline": pressure_timeline_q,
     "pressure_stream": pressure_stream_q,

@@ -270,6 +270,7 @@ FROM grid g LEFT JOIN sparse s USING (topic, tick)""",
     "relay_stream": _with(MESSAGES, ROUTED)
     + 'SELECT queue, payload, topic, "partition", "offset" FROM routed',
     "lag_stream": _with(MESSAGES, LEDGER, LATEST, LAG) + "SELECT topic, lag FROM lag_tbl",
+    "lag_service": _with(MESSAGES, LEDGER, LATEST, LAG) + "SELECT topic, lag FROM lag_tbl",
     "pressure_gauge": _with(_gauge_lists())
     + "SELECT topic, gauges[-1] AS gauge FROM folded",
     "pressure_timeline": _with(_gauge_lists()) + """
