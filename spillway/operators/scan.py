@@ -180,7 +180,8 @@ def _chunked_index(df, group_cols, order_cols, out):
                .rowsBetween(Window.unboundedPreceding, -1))
     bases = counts.select("_chunk", *group_cols, "_first",
                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    joined = lookup_join(local, bases, ["_chunk", *group_cols], "inner", label="index-bases")
+    joined = lookup_join(local, bases, ["_chunk", *group_cols], "inner", label="index-bases",
+                         null_safe=True)
     position = F.col("_base") + F.col("_mid") - F.col("_first")
     return joined.select(*[F.col(c) for c in names], position.cast("bigint").alias(out))
 
@@ -244,7 +245,8 @@ def _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out):
         return res
 
     before = totals.groupBy(*group_cols).applyInPandas(exclusive, before_schema)
-    joined = lookup_join(local, before, ["_chunk", *group_cols], "inner", label="scan-totals")
+    joined = lookup_join(local, before, ["_chunk", *group_cols], "inner", label="scan-totals",
+                         null_safe=True)
     x0 = apply_step(F.lit(init).cast("bigint"), F.col("_bd"), F.col("_blo"), F.col("_bhi"))
     value = apply_step(x0, F.col("_pd"), F.col("_plo"), F.col("_phi"))
     return joined.select(*[F.col(c) for c in names], value.cast("bigint").alias(out))

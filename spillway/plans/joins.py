@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,16 +12,25 @@ from ..session import CONF_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, conf_int, pin
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
-                label: str = "lookup") -> DataFrame:
+                label: str = "lookup", null_safe: bool = False) -> DataFrame:
     """Join ``big`` with a derived lookup table ``small``.
 
     ``small`` is pinned in the shared folder (computed once, lineage cut) and
     counted; it is broadcast only when its row count is within
     ``spillway.broadcast.maxRows``, otherwise the join is left to a shuffle
-    join on the keys (AQE may still pick broadcast at run time).
+    join on the keys (AQE may still pick broadcast at run time). With
+    ``null_safe`` a NULL key matches a NULL key (``<=>``), as in grouping.
     """
     small = pin(small, label)
     limit = conf_int(big.sparkSession, CONF_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS)
-    if small.count() <= limit:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    broadcast = small.count() <= limit
+    if not null_safe:
+        return big.join(F.broadcast(small) if broadcast else small, on, how)
+    keyed = small.select(*[F.col(c).alias(f"_key_{c}") if c in on else F.col(c)
+                           for c in small.columns])
+    if broadcast:
+        keyed = F.broadcast(keyed)
+    cond = reduce(and_, [big[c].eqNullSafe(keyed[f"_key_{c}"]) for c in on])
+    joined = big.join(keyed, cond, how)
+    return joined.drop(*[f"_key_{c}" for c in on]) if how not in ("left_semi", "left_anti") \
+        else joined

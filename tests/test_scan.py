@@ -84,3 +84,15 @@ def test_running_sum_chunked_equals_window(spark):
     a = running_sum(df, ["g"], ["id"], F.col("v"), "s", chunked=False)
     b = running_sum(df, ["g"], ["id"], F.col("v"), "s", chunked=True)
     assert a.exceptAll(b).count() == 0 and b.count() == 3000
+
+
+def test_null_group_keys_survive_both_plans(spark):
+    rows = [(None if i % 5 == 0 else ("a" if i % 2 else "b"), i, (i * 13) % 7 - 3)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, o bigint, v bigint")
+    for fn in (lambda c: row_index(df, ["g"], ["o"], "x", chunked=c),
+               lambda c: running_sum(df, ["g"], ["o"], F.col("v"), "x", chunked=c),
+               lambda c: clamp_scan(df, ["g"], ["o"], F.col("v"), F.lit(0), F.lit(5), "x",
+                                    chunked=c)):
+        a, b = fn(False), fn(True)
+        assert b.count() == 400 and a.exceptAll(b).count() == 0
