@@ -68,7 +68,8 @@ def queue_remaining(queue: DataFrame, n: int = 1) -> DataFrame:
     anti-join against the popped items (at most ``n`` per queue, size-checked
     before broadcast): the queue itself is never shuffled."""
     popped = queue_pop(queue, n).select("queue", "pos")
-    return lookup_join(queue, popped, ["queue", "pos"], "left_anti", label="popped")
+    return lookup_join(queue, popped, ["queue", "pos"], "left_anti", label="popped",
+                       null_safe=True)
 
 
 def queue_ops(messages: DataFrame, pop_every_even: int = 2, prefix: str = "") -> DataFrame:

@@ -159,3 +159,12 @@ def test_partition_never_consumed_counts_fully(spark):
 def test_other_roles_subtract_like_formal(spark):
     lg = _ledger(spark, [("all", "t", 0, 10, 1), ("replica", "t", 0, 4, 2)])
     assert led.topic_lag(led.latest_offsets(lg)).first().lag == 6
+
+
+def test_pop_and_remaining_disjoint_with_null_queue(spark):
+    rows = [(None if i < 3 else "q", i % 3, f"p{i}", "t", 0, i, 0) for i in range(6)]
+    queue = spark.createDataFrame(rows, "queue string, pos bigint, payload string, topic string, "
+                                        "partition int, offset bigint, batch_id bigint")
+    popped, rest = q.queue_pop(queue, 2), q.queue_remaining(queue, 2)
+    assert popped.count() + rest.count() == 6
+    assert popped.join(rest, ["offset"]).count() == 0
