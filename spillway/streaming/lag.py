@@ -49,14 +49,17 @@ def publish_batch(state_path: str, lag_table: LagTable):
         spark = batch.sparkSession
         updated = batch.select(*KEY, "offset", "seq")  # at most one row per key
         older = [v for v in _versions(spark, state_path) if v < batch_id]
-        merged = updated if not older else _state(spark, state_path, older[-1]) \
-            .unionByName(updated)
+        prev = _state(spark, state_path, older[-1]) if older else None
+        merged = updated if prev is None else prev.unionByName(updated)
         state = (merged.groupBy(*KEY)
                  .agg(F.max_by(F.struct("offset", "seq"), "seq").alias("s"))
                  .select(*KEY, "s.offset", "s.seq"))
+        # The micro-batch runs once, here; everything after reads small tables.
         state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         current = _state(spark, state_path, batch_id)
-        touched = updated.select("topic").distinct()
+        changed = current if prev is None else current.join(
+            prev, [*KEY, "offset", "seq"], "left_anti")
+        touched = changed.select("topic").distinct()
         lag_table.upsert(topic_lag(current).join(touched, "topic", "left_semi"),
                          version=batch_id)
 
