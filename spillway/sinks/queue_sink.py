@@ -27,14 +27,21 @@ QUEUE_SCHEMA = T.StructType([
 ])
 
 
-def write_queue(rows: DataFrame, path: str) -> None:
-    # Cluster by the partition columns first: one file per (queue, batch)
-    # instead of one per task and partition. Batches are bounded by the
-    # per-trigger limit, so no cluster is hot. An explicit count keeps the
-    # write parallel (AQE would otherwise fold small data into one writer).
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (rows.select(*QUEUE_COLUMNS).repartition(n, "queue", "batch_id").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
+def write_queue(rows: DataFrame, path: str, clustered: bool = False) -> None:
+    """Overwrite the (queue, batch_id) partitions present in ``rows``.
+
+    Rows are clustered by the partition columns first, so there is one file per
+    (queue, batch) instead of one per task and partition. Batches are bounded
+    by the per-trigger limit, so no cluster is hot, and an explicit count keeps
+    the write parallel (AQE would otherwise fold small data into one writer).
+    ``clustered=True`` skips this when the rows already arrive clustered by
+    queue within one batch (straight out of the per-queue position window).
+    """
+    out = rows.select(*QUEUE_COLUMNS)
+    if not clustered:
+        n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartition(n, "queue", "batch_id")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("queue", "batch_id").parquet(path))
 
 

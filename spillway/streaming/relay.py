@@ -65,7 +65,7 @@ def batch_writer(path: str, options: RelayOptions, topics: tuple[str, ...],
             tries["n"] += 1
             if fault is not None:
                 fault(batch_id, tries["n"])
-            write_queue(rows, path)
+            write_queue(rows, path, clustered=True)  # one batch, clustered by queue
 
         used = with_retry(attempt, options.sink_max_attempts, options.sink_retry_delay_s)
         if retries is not None:
