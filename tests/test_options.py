@@ -77,3 +77,12 @@ def test_kafka_rows_are_repaired_not_failed(spark):
     rows = from_kafka_rows(raw, with_repair_flag=True).orderBy("offset").collect()
     assert rows[0].value == "a\ufffdb" and rows[0].repaired is True and rows[0].seq == 5
     assert rows[1].value is None and rows[1].repaired is False
+
+
+def test_positions_from_progress(spark):
+    from spillway.streaming.source import positions_from_progress
+    progress = {"sources": [{"description": "KafkaV2[Subscribe[t,u]]",
+                             "latestOffset": json.dumps({"t": {"0": 46, "1": 0},
+                                                         "u": {"0": 3}})}]}
+    rows = sorted(tuple(r) for r in positions_from_progress(spark, progress).collect())
+    assert rows == [("all", "t", 0, 45, 45), ("all", "u", 0, 2, 2)]
