@@ -1,7 +1,7 @@
 """Queue tables: one ordered work queue per topic, as a DataFrame.
 
 A queue row is ``queue, pos, payload, topic, partition, offset, batch_id``.
-Order is the ``pos`` column (dense, 0 = head), never implicit row order.
+Order is ``(batch_id, pos)`` (columns, never implicit row order).
 """
 
 from __future__ import annotations
@@ -19,6 +19,10 @@ QUEUE_COLUMNS = ["queue", "pos", "payload", "topic", "partition", "offset", "bat
 
 # Arrival order across partitions of one topic (ties broken by unique keys).
 FIFO_ORDER = ["timestamp", "partition", "offset"]
+# Order of items in a queue table: batches in arrival order, positions inside
+# a batch (a stream writes batch-local positions; a batch table has one batch
+# or globally dense positions, for which this is the same order).
+FIFO_KEY = ["batch_id", "pos"]
 
 
 def route(messages: DataFrame, prefix: str = "", batch_id: int | Column | None = 0) -> DataFrame:
@@ -59,7 +63,7 @@ def queue_pop(queue: DataFrame, n: int = 1) -> DataFrame:
     nothing. A per-queue top-n: Spark plans it as a window group limit that
     keeps at most ``n`` rows per queue in every task before the shuffle, so a
     hot queue never moves more than ``n`` rows per task."""
-    w = Window.partitionBy("queue").orderBy("pos")
+    w = Window.partitionBy("queue").orderBy(*FIFO_KEY)
     return queue.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
@@ -67,8 +71,8 @@ def queue_remaining(queue: DataFrame, n: int = 1) -> DataFrame:
     """R20 complement: what stays after popping ``n`` from every queue. An
     anti-join against the popped items (at most ``n`` per queue, size-checked
     before broadcast): the queue itself is never shuffled."""
-    popped = queue_pop(queue, n).select("queue", "pos")
-    return lookup_join(queue, popped, ["queue", "pos"], "left_anti", label="popped",
+    popped = queue_pop(queue, n).select("queue", *FIFO_KEY)
+    return lookup_join(queue, popped, ["queue", *FIFO_KEY], "left_anti", label="popped",
                        null_safe=True)
 
 

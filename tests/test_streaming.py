@@ -134,3 +134,15 @@ def test_kafka_option_mapping():
     assert o["subscribe"] == "click,view" and o["startingOffsets"] == "earliest"
     assert o["minPartitions"] == "4" and o["groupIdPrefix"] == "g"
     assert kafka_options(OPTS, group_suffix="_all")["groupIdPrefix"] == "g_all"
+
+
+def test_pop_from_stream_written_queue_is_fifo(spark):
+    from spillway.operators.queue import queue_pop
+    msgs = load_messages(spark, SF_SMALL).where(F.col("topic") == "click")
+    staged = stage_files(msgs, files=3, by_topic=True)
+    _, sink, _ = _run(spark, staged, OPTS)
+    table = read_queue(spark, sink)
+    assert table.select("batch_id").distinct().count() > 1
+    got = [r.offset for r in queue_pop(table, 7).orderBy("batch_id", "pos").collect()]
+    want = [r.offset for r in msgs.orderBy("timestamp", "partition", "offset").limit(7).collect()]
+    assert got == want
