@@ -30,3 +30,18 @@ def test_push_ordered_is_fifo_and_idempotent(spark):
         assert store.length(name) == n - 3
     assert json.loads(expect[0])["attempts"] == 1
     assert store.length("q:missing") == 0 and store.pop("q:missing") == []
+
+
+def test_push_ordered_on_stream_batches(spark):
+    # Batch-local positions repeat across batches; the (batch_id, pos) mark
+    # keeps every item once and in order.
+    rows = [("q", b, p, f"{b}-{p}", "t", 0, 10 * b + p) for b in range(3) for p in range(4)]
+    queue = spark.createDataFrame(rows, "queue string, batch_id bigint, pos bigint, "
+                                        "payload string, topic string, partition int, "
+                                        "offset bigint")
+    root = scratch_path(spark, "lists")
+    factory = lambda: FileListStore(root)
+    push_ordered(queue.where("batch_id < 2"), factory, chunk=3).collect()
+    push_ordered(queue, factory, chunk=3).collect()  # replays batches 0-1, adds batch 2
+    store = FileListStore(root)
+    assert store.pop("q", 100) == [f"{b}-{p}" for b in range(3) for p in range(4)]

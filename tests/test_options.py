@@ -46,7 +46,7 @@ def test_relay_waits_on_a_full_store_then_writes_everything(spark):
                         controller_time_s=0.01)
     msgs = load_messages(spark, SF_SMALL).where(F.col("topic") == "click")
     store = FileListStore(scratch_path(spark, "probe-store"))
-    store.push("q:click", ["a", "b", "c"], 2)  # over the limit: gate closed
+    store.push("q:click", ["a", "b", "c"], (0, 2))  # over the limit: gate closed
     polls = {"n": 0}
     base = store_depth_probe(store)
 
