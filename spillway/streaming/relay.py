@@ -6,7 +6,8 @@ then the batch writer waits while the topic's gate is closed and writes the
 batch into the queue table. Waiting -- never filtering -- is what keeps a held
 batch whole: Spark logs the batch as done only after ``foreachBatch`` returns,
 and a failed batch is replayed with the same id and rows, which the queue
-sink's per-batch overwrite turns into an idempotent write.
+sink's per-batch overwrite turns into an idempotent write. Positions are
+batch-local: the queue table's FIFO key is ``(batch_id, pos)``.
 """
 
 from __future__ import annotations
