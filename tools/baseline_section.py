@@ -41,6 +41,8 @@ Two columns:
 | all {len(q)} registered queries | {d['all_queries_total_sec']:.2f} | {c['all_queries_total_sec']:.2f} |
 
 `relay_stream` throughput, staging included: {d.get('relay_stream_rows_per_sec', 0):.0f} rows/s.
+Repeated runs on this VM differ by up to about 30% (most for the streaming queries, which
+pay fixed costs per micro-batch), so treat single figures as approximate.
 
 All queries:
 
