@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import lookup_join
-from ..session import pin
+from ..session import CONF_GROUP_ROWS, DEFAULT_GROUP_ROWS, conf_int, pin
+from .scan import previous_value, running_sum
 
 KEY = ["role", "topic", "partition"]
 
@@ -72,28 +73,42 @@ def tick_end(ts: Column, seconds: int) -> Column:
     return start + F.make_interval(secs=step.cast("int"))
 
 
-def lag_timeline(ledger: DataFrame, tick_seconds: int = 10) -> DataFrame:
+def ticks_per_key_bound(ledger: DataFrame, tick_seconds: int) -> int:
+    """Most ticks any key can have: the time span in ticks (one cheap
+    aggregate over the timestamp column, one row back)."""
+    row = ledger.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).first()
+    if row["a"] is None:
+        return 0
+    return int((row["b"] - row["a"]).total_seconds() // tick_seconds) + 2
+
+
+def lag_timeline(ledger: DataFrame, tick_seconds: int = 10,
+                 chunked: bool | None = None) -> DataFrame:
     """Topic lag as published at the end of every tick with activity.
 
     Telescoping keeps this on aggregates: per (role, topic, partition, tick)
     the last offset (partial aggregation), its change against the previous
     active tick of the same key, the signed changes summed per (topic, tick)
-    and a running sum over ticks. Windows run over tick aggregates, so their
-    size is bounded by the number of ticks, not by the number of messages.
+    and a running sum over ticks. Each key and topic has at most one row per
+    tick, so the time span bounds every group; when that bound is above the
+    per-group limit (very long histories), the previous value and the running
+    sum use the skew-safe scans instead of windows.
     """
+    if chunked is None:
+        limit = conf_int(ledger.sparkSession, CONF_GROUP_ROWS, DEFAULT_GROUP_ROWS)
+        chunked = ticks_per_key_bound(ledger, tick_seconds) > limit
     per_tick = (ledger.withColumn("tick", tick_end(F.col("timestamp"), tick_seconds))
                 .groupBy(*KEY, "tick").agg(F.max_by("offset", "seq").alias("last")))
-    w_key = Window.partitionBy(*KEY).orderBy("tick")
-    change = per_tick.withColumn("change", F.col("last") - F.lag("last", 1, 0).over(w_key))
+    change = previous_value(per_tick, KEY, ["tick"], "last", 0, "prev", chunked=chunked) \
+        .withColumn("change", F.col("last") - F.col("prev"))
     # Cluster by topic once: serves both the (topic, tick) sum and the
     # per-topic running sum (one shuffle instead of two).
     per_topic = change.repartition("topic").groupBy("topic", "tick").agg(
         F.sum(signed_offset(F.col("role"), F.col("change"))).alias("delta"))
-    w_topic = (Window.partitionBy("topic").orderBy("tick")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return per_topic.select(
-        "topic", "tick",
-        F.greatest(F.lit(0), F.sum("delta").over(w_topic)).cast("bigint").alias("lag"))
+    running = running_sum(per_topic, ["topic"], ["tick"], F.col("delta"), "running",
+                          chunked=chunked)
+    return running.select("topic", "tick",
+                          F.greatest(F.lit(0), F.col("running")).cast("bigint").alias("lag"))
 
 
 def dense_lag_timeline(sparse: DataFrame, tick_seconds: int = 10) -> DataFrame:

@@ -24,6 +24,9 @@ largest group's row count, one aggregate job):
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -136,6 +139,24 @@ def floored_sum(df: DataFrame, group_cols: list[str], order_cols: list[str], d:
                                .cast("bigint")).drop("_s"))
 
 
+def previous_value(df: DataFrame, group_cols: list[str], order_cols: list[str], col: str,
+                   default, out: str, chunked: bool | None = None) -> DataFrame:
+    """``col`` of the previous row of the same group (``default`` for a
+    group's first row). Per-group plan: ``lag``. Large groups: dense positions
+    (range-chunked) and a null-safe equi-join of each row with position - 1,
+    a join on unique keys, so it stays balanced however large a group is."""
+    if not _use_chunks(df, group_cols, chunked):
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+        return df.withColumn(out, F.lag(col, 1, default).over(w))
+    indexed = row_index(df, group_cols, order_cols, "_i", chunked=True)
+    cur, prev = indexed.alias("_cur"), indexed.alias("_prev")
+    cond = reduce(and_, [F.col(f"_cur.{c}").eqNullSafe(F.col(f"_prev.{c}")) for c in group_cols]
+                  + [F.col("_cur._i") == F.col("_prev._i") + 1])
+    joined = cur.join(prev, cond, "left")
+    value = F.when(F.col("_prev._i").isNull(), F.lit(default)).otherwise(F.col(f"_prev.{col}"))
+    return joined.select(*[F.col(f"_cur.{c}") for c in df.columns], value.alias(out))
+
+
 # ---------------------------------------------------------------- small groups
 
 def _grouped_scan(df, group_cols, order_cols, d, lo, hi, init, out):

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from spillway.operators import gauge, queue as q
-from spillway.operators.scan import BIG, clamp_scan, compose_prefix, row_index, running_sum
+from spillway.operators.scan import (BIG, clamp_scan, compose_prefix, previous_value, row_index,
+                                     running_sum)
 from spillway.sources.messages import messages_from_events
 from spillway.sources.tables import table
 
@@ -96,3 +97,15 @@ def test_null_group_keys_survive_both_plans(spark):
                                     chunked=c)):
         a, b = fn(False), fn(True)
         assert b.count() == 400 and a.exceptAll(b).count() == 0
+
+
+def test_previous_value_both_plans(spark):
+    # A hot group, a NULL group and NULL values in the column itself.
+    rows = [(None if i % 7 == 0 else ("hot" if i % 3 else "c"), i,
+             None if i % 11 == 0 else i * 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, o bigint, v bigint")
+    a = previous_value(df, ["g"], ["o"], "v", -1, "p", chunked=False)
+    b = previous_value(df, ["g"], ["o"], "v", -1, "p", chunked=True)
+    assert b.count() == 600 and a.exceptAll(b).count() == 0
+    firsts = b.where("p = -1").count()
+    assert firsts == 3  # one first row per group (hot, c, NULL)
