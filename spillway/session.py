@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,3 +75,25 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for each Spark application.
+
+    Workers import the module of a function that they run; without an installed package or
+    a shared PYTHONPATH they get it as a zip through Spark's own file distribution.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_spillway_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="spillway-zip-")  # on the driver; executors fetch it from there
+    path = os.path.join(folder, "spillway_package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for base, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._spillway_shipped = True
