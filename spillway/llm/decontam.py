@@ -173,18 +173,21 @@ def keep_unleaked(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RAT
     """``docs`` without the rows that hold a passage of the benchmark; all other rows stay as they are."""
     kept = docs
     for block in _blocks(benchmark, "item_id", "text"):
-        held = docs.sparkSession.sparkContext.broadcast(block)
-
-        @F.pandas_udf("boolean")
-        def leaked(batches: Iterator[pd.Series], held=held) -> Iterator[pd.Series]:
-            matcher = Matcher(held.value, rate)
-            for batch in batches:
-                yield pd.Series([bool(matcher.find(t)) for t in batch], dtype=bool)
-
         name = free_name(kept.columns, "leaked")
+        leaked = _leaked(docs.sparkSession.sparkContext.broadcast(block), rate)
         kept = kept.withColumn(name, leaked(F.col("text"))).where(~F.col(name)).drop(name)
     return kept
 
 
+def _leaked(held, rate: float):
+    @F.pandas_udf("boolean")
+    def leaked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(held.value, rate)
+        for batch in batches:
+            yield pd.Series([bool(matcher.find(t)) for t in batch], dtype=bool)
+
+    return leaked
+
+
 def benchmark_of(docs: DataFrame, sf_dir: str) -> DataFrame:
     return table(docs.sparkSession, sf_dir, "benchmark")

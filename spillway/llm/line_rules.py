@@ -87,7 +87,10 @@ def judge(docs: DataFrame, text_col: str = "text", max_lost: float = MAX_LOST) -
 
 def keep_clean(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:
     """The kept documents, with their failing lines removed from ``text`` (and n_chars brought in line)."""
-    kept = judge(docs, max_lost=max_lost).where("kept")
+    # The row number keeps the optimiser from moving the filter below the measures, where it would work
+    # them out anew for every element that a lambda visits.
+    judged = judge(docs, max_lost=max_lost).withColumn("at", F.monotonically_increasing_id())
+    kept = judged.where(F.col("kept") & (F.col("at") >= 0))
     columns = []
     for c in docs.columns:
         own = F.col("doc").getField(c)

@@ -211,8 +211,8 @@ def train(bags: list[tuple[int, list[str]]], seed: int = 9):
 
 
 def _platt(best: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the probability, by Newton steps with a small ridge; both kinds weigh alike."""
-    weight = np.where(labels > 0, 0.5 / max(1, labels.sum()), 0.5 / max(1, (labels == 0).sum())) * len(labels)
+    """Slope and offset of the probability, by Newton steps with a small ridge."""
+    weight = np.ones(len(labels))
     x = np.stack([best, np.ones(len(best))], 1)
     w = np.array([2.0, 0.0])
     for _ in range(50):
