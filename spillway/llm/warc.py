@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import lookup_join
 from ..session import pin, scratch_path
 from .common import width
 
@@ -62,11 +63,12 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
         (ts if ts is not None else F.lit(EPOCH) + F.coalesce(F.col(id_col), F.lit(0))).cast("bigint").alias("ts"))
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("bigint")).withColumn("payload_digest", digest_column(F.col("payload")))
     ids = pin(rows.select("page_id", "payload_bytes", "payload_digest"), "warc-ids")  # no payloads
-    first = (ids.where(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-             .where("n > 1").select(F.col("payload_digest").alias("d"), F.col("payload_bytes").alias("b"), "first"))
-    # only payloads that repeat can be revisited; their copies are split by the adaptive skew join
-    return (rows.join(first, (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") == F.col("b")), "left")
-            .withColumn("refers_to", F.when(F.col("page_id") != F.col("first"), F.col("first"))).drop("d", "b", "first"))
+    first = (ids.where(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes")
+             .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    # Only payloads that repeat can be revisited: that table is broadcast behind a check of its size, so
+    # payloads do not move for it; beyond the limit it is a shuffle join.
+    rows = lookup_join(rows, first, ["payload_digest", "payload_bytes"], label="warc-first")
+    return rows.withColumn("refers_to", F.when(F.col("page_id") != F.col("first"), F.col("first"))).drop("first")
 
 
 def record_text(id_: Column, url: Column, payload: Column, ts: Column, size: Column, digest_: Column, refers_to: Column) -> Column:
