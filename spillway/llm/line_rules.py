@@ -82,15 +82,16 @@ def judge(docs: DataFrame, text_col: str = "text", max_lost: float = MAX_LOST) -
     t = t.select("doc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"),
                  (F.col("n_lines") - F.size("good")).cast("bigint").alias("n_lines_removed"),
                  lost.cast("bigint").alias("lost_chars"), "cleaned")
-    return t.withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= F.col("word_chars") * max_lost))
+    # The row number keeps the optimiser from moving a later filter on these columns below the measures,
+    # where it would work them out anew for every element that a lambda visits.
+    t = t.withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") <= F.col("word_chars") * max_lost))
+    t = t.withColumn("at", F.monotonically_increasing_id())
+    return t.withColumn("kept", F.col("kept") & (F.col("at") >= 0)).drop("at")
 
 
 def keep_clean(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:
     """The kept documents, with their failing lines removed from ``text`` (and n_chars brought in line)."""
-    # The row number keeps the optimiser from moving the filter below the measures, where it would work
-    # them out anew for every element that a lambda visits.
-    judged = judge(docs, max_lost=max_lost).withColumn("at", F.monotonically_increasing_id())
-    kept = judged.where(F.col("kept") & (F.col("at") >= 0))
+    kept = judge(docs, max_lost=max_lost).where("kept")
     columns = []
     for c in docs.columns:
         own = F.col("doc").getField(c)

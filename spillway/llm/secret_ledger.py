@@ -134,7 +134,7 @@ def masked(text: Column, spans: Column, mask: str = "[REDACTED]") -> Column:
         joined = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
         return F.when((s["start"] < acc["at"]) & (acc["at"] > 0), joined).otherwise(fresh)
 
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2147483647))))
+    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
 
 
 def mask_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
@@ -157,10 +157,8 @@ def mask_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     hit = own.where(F.col(k).isNotNull()).join(done, F.col(k) == F.col(b), "left")
     text = F.when(F.size(s) > 0, masked(F.col("text"), F.col(s))).otherwise(F.col("text"))
     hit = hit.withColumn(s, F.coalesce(s, F.array().cast(SPANS)))
-    columns = []
-    for c in docs.columns:
-        own_c = text if c == "text" else F.col(c)
-        if c == "n_chars":
-            own_c = F.when(F.col(c).isNotNull(), F.length(text).cast(docs.schema[c].dataType))
-        columns.append(own_c.alias(c))
-    return hit.select(*columns).unionByName(own.where(F.col(k).isNull()).select(*docs.columns))
+    hit = hit.withColumn("text", text).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        own_chars = F.when(F.col("n_chars").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
+        hit = hit.withColumn("n_chars", own_chars)
+    return hit.unionByName(own.where(F.col(k).isNull()).select(*docs.columns))

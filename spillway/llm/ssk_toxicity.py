@@ -151,12 +151,41 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20.0, steps
     return w[:-1], float(w[-1])
 
 
+def variants(word: str) -> list[str]:
+    """A positive token as it may be disguised: a letter put in at two places, one left out (fixed by the word)."""
+    rng = np.random.default_rng(list(word.encode()))
+    out = []
+    for letter in rng.choice(list("xzqjkv"), 2):
+        at = int(rng.integers(1, len(word)))
+        out.append(word[:at] + str(letter) + word[at:])
+    if len(word) >= 6:
+        at = int(rng.integers(1, len(word) - 1))
+        out.append(word[:at] + word[at + 1:])
+    return out
+
+
+def _witnesses(ranked: list[str], toxic: list[list[str]]) -> list[str]:
+    """Of the tokens in their order, those that some toxic bag needs (it holds none that came before) or a tenth of them holds."""
+    where: dict[str, list[int]] = {}
+    for n, bag in enumerate(toxic):
+        for w in bag:
+            where.setdefault(w, []).append(n)
+    explained, out = set(), []
+    for w in ranked:
+        if len(where[w]) * 10 >= max(50, len(toxic)) or not explained.issuperset(where[w]):
+            explained.update(where[w])
+            out.append(w)
+    return out
+
+
 def train(bags: list[tuple[int, list[str]]], seed: int = 9):
     """Machine from bags (label, folded tokens of a document's sentences)."""
     labels = np.array([y for y, _ in bags])
     if len(set(labels.tolist())) < 2:
         return Constant(float(labels.mean()) if len(labels) else 0.5)
-    bags = [(y, sorted({w for w in words if len(w) >= 3})) for y, words in bags]
+    # copies count once; a label that differs between copies stays
+    bags = [(y, list(b)) for y, b in sorted({(y, tuple(sorted({w for w in words if len(w) >= 3}))) for y, words in bags})]
+    labels = np.array([y for y, _ in bags])
     in_toxic, in_clean = Counter(w for y, b in bags if y for w in b), Counter(w for y, b in bags if not y for w in b)
     share = labels.sum() / max(1, len(labels) - labels.sum())
     rng = np.random.default_rng(seed)
@@ -169,7 +198,7 @@ def train(bags: list[tuple[int, list[str]]], seed: int = 9):
         return in_toxic[w] * np.log((in_toxic[w] + 0.5) / (share * in_clean[w] + 0.5))
 
     ranked = sorted((w for w in in_toxic if in_toxic[w] >= 2 and in_clean[w] == 0), key=lambda w: (-odds(w), w))
-    positive = ranked[:POSITIVES] or sorted(in_toxic, key=lambda w: (-odds(w), w))[:10]
+    positive = _witnesses(ranked, [b for y, b in bags if y])[:POSITIVES] or sorted(in_toxic, key=lambda w: (-odds(w), w))[:10]
     half = LANDMARKS // 2
     marks = [*positive[:half], *(w for w in negative[::max(1, len(negative) // (LANDMARKS - half))][:LANDMARKS - half] if w not in set(positive[:half]))]
     phi = features(np.concatenate([encode([w[:WINDOW]])[0] for w in marks]))
@@ -188,11 +217,13 @@ def train(bags: list[tuple[int, list[str]]], seed: int = 9):
     hard: set[str] = set()
     for round_ in range(ROUNDS):
         negatives = sorted({*negative, *hard} - set(positive))
-        x = np.vstack([mapped(positive), mapped(negatives)])
-        y = np.array([1.0] * len(positive) + [-1.0] * len(negatives))
-        support = np.array([in_toxic[w] for w in positive] + [1.0] * len(negatives), float)
-        support[:len(positive)] *= 0.5 / max(1, support[:len(positive)].sum())
-        support[len(positive):] = 0.5 / max(1, len(negatives))
+        shown = [(v, in_toxic[w]) for w in positive for v in (w, *variants(w)) if v == w or v not in in_clean]
+        n = len(shown)
+        x = np.vstack([mapped([v for v, _ in shown]), mapped(negatives)])
+        y = np.array([1.0] * n + [-1.0] * len(negatives))
+        support = np.array([c for _, c in shown] + [1.0] * len(negatives), float)
+        support[:n] *= 0.5 / max(1, support[:n].sum())
+        support[n:] = 0.5 / max(1, len(negatives))
         w, bias = svm(x, y, support * len(y) / 10)
         machine = Machine((whiten @ w) @ phi, bias)
         vocabulary = sorted({*in_toxic, *in_clean})
