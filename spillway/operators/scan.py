@@ -161,14 +161,14 @@ def previous_value(df: DataFrame, group_cols: list[str], order_cols: list[str],
 
 def _grouped_scan(df, group_cols, order_cols, d, lo, hi, init, out):
     """One task per group (groups are size-checked): sort, fold in numpy."""
-    base = (df.withColumn("_d", d.cast("bigint")).withColumn("_lo", lo.cast("bigint"))
+    base = (df.withColumn("_d", F.coalesce(d.cast("bigint"), F.lit(0))).withColumn("_lo", lo.cast("bigint"))
             .withColumn("_hi", hi.cast("bigint")))
     order_names = list(order_cols)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.LongType())])
     names = df.columns
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order_names, kind="mergesort")
+        pdf = pdf.sort_values(order_names, kind="mergesort", na_position="first")  # as Spark sorts
         seg = np.zeros(len(pdf), dtype=np.int64)
         pd_, plo, phi = compose_prefix(seg, pdf["_d"].to_numpy(), pdf["_lo"].to_numpy(),
                                        pdf["_hi"].to_numpy())
@@ -213,7 +213,7 @@ def _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out):
     keys = [*group_cols, *order_cols]
     names = df.columns
     ranged = (
-        df.withColumn("_d", d.cast("bigint")).withColumn("_lo", lo.cast("bigint"))
+        df.withColumn("_d", F.coalesce(d.cast("bigint"), F.lit(0))).withColumn("_lo", lo.cast("bigint"))
         .withColumn("_hi", hi.cast("bigint"))
         .withColumn("_g", F.to_json(F.struct(*[F.col(c) for c in group_cols])))
         .repartitionByRange(n, *keys).sortWithinPartitions(*keys)

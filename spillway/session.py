@@ -21,18 +21,19 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 def build_session(master: str | None = None, app: str = "spillway",
                   shuffle_partitions: int | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
+    builder = SparkSession.builder
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:  # else a submitted job: the cluster sets master, memory and width
+        builder = (builder.master(master or f"local[{cpus}]").config("spark.driver.memory", "16g")
+                   .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus))))
     builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
+        builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -31,7 +31,7 @@ class LagTable:
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         if not root.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(root):
             return self.spark.createDataFrame([], "topic string, lag bigint, version bigint")
-        log = self.spark.read.parquet(self.path)
+        log = self.spark.read.schema("topic string, lag bigint, version bigint").parquet(self.path)
         return log.groupBy("topic").agg(
             F.max_by("lag", "version").alias("lag"),
             F.max("version").cast("bigint").alias("version"))

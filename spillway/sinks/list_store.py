@@ -53,6 +53,8 @@ def push_ordered(rows: DataFrame, store_factory: Callable[[], ListStore], chunk:
         marks: dict[str, Mark] = {}
         pushed: dict[str, int] = {}
         for pdf in batches:
+            if pdf["queue"].isna().any():
+                raise ValueError("a row without a queue cannot be pushed")
             for queue, part in pdf.groupby("queue", sort=False):
                 if queue not in marks:
                     marks[queue] = tuple(store.last_mark(queue))

@@ -46,7 +46,7 @@ def write_queue(rows: DataFrame, path: str, clustered: bool = False) -> None:
 
 
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
+    df = spark.read.schema(QUEUE_SCHEMA).parquet(path)  # inferred folder types would turn queue 007 into 7
     return df.select("queue", "pos", "payload", "topic", "partition", "offset",
                      F.col("batch_id").cast("bigint").alias("batch_id"))
 

@@ -109,3 +109,19 @@ def test_previous_value_both_plans(spark):
     assert b.count() == 600 and a.exceptAll(b).count() == 0
     firsts = b.where("p = -1").count()
     assert firsts == 3  # one first row per group (hot, c, NULL)
+
+
+def test_plans_agree_on_null_steps_and_null_order(spark):
+    from spillway.operators import scan
+    from spillway.session import CONF_GROUP_ROWS
+
+    df = spark.createDataFrame([("g", None, 5), ("g", 1, None), ("g", 2, 7), ("g", 3, -20), ("g", 4, 1)], "g string, o int, d bigint")
+    results = []
+    for limit in ("0", "1000"):
+        spark.conf.set(CONF_GROUP_ROWS, limit)
+        try:
+            out = scan.floored_sum(df, ["g"], ["o"], F.col("d"), "depth")
+            results.append(sorted((r.o or 0, r.depth) for r in out.collect()))
+        finally:
+            spark.conf.unset(CONF_GROUP_ROWS)
+    assert results[0] == results[1] == [(0, 5), (1, 5), (2, 12), (3, 0), (4, 1)]
