@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,8 @@ SHAPES, ROWS, DIM, NONZERO = 64, 2048, 32, 4  # rows of shape terms, of all term
 MAX_ROWS = 8000  # labelled documents used to fit the network, by hash order
 MEMO = 300_000
 SPAN = 1 << 18  # terms held at once
+BLOCK = 256  # documents pooled at once
+UNIT = 1 << 20  # vectors are rounded to multiples of 1 / UNIT
 THRESHOLD = 0.7
 
 _RUNS = re.compile(r"(.)\1+")
@@ -48,27 +51,23 @@ def shape(word: str) -> str:
     return _RUNS.sub(r"\1", kinds)
 
 
-class Terms:
-    """Term rows of texts; remembers words."""
+class Terms(dict):
+    """Term rows of texts; a dictionary of the words met so far and their codes."""
 
-    def __init__(self):
-        self.memo: dict[str, int] = {}
-
-    def _learn(self, word: str) -> int:
+    def __missing__(self, word: str) -> int:
         core = _MARKS.sub("", word.lower()) or word
         w = SHAPES + zlib.crc32(core.encode("utf-8", "surrogatepass")) % (ROWS - SHAPES)
         s = 2 + zlib.crc32(shape(word).encode("utf-8", "surrogatepass")) % (SHAPES - 2)
-        self.memo[word] = code = w * SHAPES + s
+        self[word] = code = w * SHAPES + s
         return code
 
     def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word rows, shape rows, words of each text); a word equal to the one before it has shape row 1."""
-        memo, learn = self.memo, self._learn
-        if len(memo) > MEMO:
-            memo.clear()
+        if len(self) > MEMO:
+            self.clear()
         words = [(t or "").split() for t in texts]
-        codes = np.fromiter((memo[w] if w in memo else learn(w) for text in words for w in text), np.int64)
         size = np.array([len(w) for w in words], np.int64)
+        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, int(size.sum()))
         w, s = codes // SHAPES, codes % SHAPES
         begin = np.cumsum(size) - size
         again = np.zeros(len(codes), bool)
@@ -90,8 +89,9 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-def context_sums(texts: list[str], terms: Terms, index: np.ndarray, sums: np.ndarray) -> None:
-    """Adds to each term the index vectors of its neighbours: a word's are the words beside it and its shape, a shape's the shapes beside it."""
+def count_pairs(texts: list[str], terms: Terms, beside: np.ndarray, shaped: np.ndarray) -> None:
+    """Counts, flat over (term, term): in ``beside`` each word with the word before it and each shape
+    with the shape before it, in ``shaped`` each word with its shape."""
     for group in _groups(texts):
         w, s, size = terms.rows(group)
         if not len(w):
@@ -99,13 +99,16 @@ def context_sums(texts: list[str], terms: Terms, index: np.ndarray, sums: np.nda
         inside = np.ones(len(w), bool)
         inside[(np.cumsum(size) - size)[size > 0]] = False
         i = np.flatnonzero(inside)
-        # counts of pairs first, vectors after: one small matrix product a group
-        near = np.zeros((ROWS, DIM), np.int64)
-        for a, b in ((w[i], w[i - 1]), (w[i - 1], w[i]), (w, s), (s[i], s[i - 1]), (s[i - 1], s[i])):
-            pairs = np.bincount(a * ROWS + b, minlength=0)
-            hit = np.flatnonzero(pairs)
-            np.add.at(near, hit // ROWS, pairs[hit][:, None] * index[hit % ROWS])
-        sums += near
+        np.add.at(beside, w[i] * ROWS + w[i - 1], 1)
+        np.add.at(beside, s[i] * ROWS + s[i - 1], 1)
+        np.add.at(shaped, w * SHAPES + s, 1)
+
+
+def context_sums(beside: np.ndarray, shaped: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """(ROWS, DIM): for each term the sum of its neighbours' index vectors: a word's are the words on both sides and its shape, a shape's the shapes on both sides."""
+    near = beside.reshape(ROWS, ROWS).astype(np.float64)
+    index = index.astype(np.float64)  # whole numbers, exact below 2^53
+    return (near @ index + near.T @ index + shaped.reshape(ROWS, SHAPES).astype(np.float64) @ index[:SHAPES]).astype(np.int64)
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -113,9 +116,11 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     names = [f"v{d}" for d in range(DIM)]
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms, index, total = Terms(), index_vectors(), np.zeros((ROWS, DIM), np.int64)
+        # pairs are counted over the whole partition, in tables of fixed size; vectors come once, at its end
+        terms, beside, shaped = Terms(), np.zeros(ROWS * ROWS, np.int64), np.zeros(ROWS * SHAPES, np.int64)
         for batch in batches:
-            context_sums(batch["t"].tolist(), terms, index, total)
+            count_pairs(batch["t"].tolist(), terms, beside, shaped)
+        total = context_sums(beside, shaped, index_vectors())
         used = np.flatnonzero(total.any(axis=1))
         yield pd.DataFrame(total[used], columns=names).assign(term=used)
 
@@ -124,7 +129,8 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     vectors = np.zeros((ROWS, DIM))
     for r in rows:
         vectors[r.term] = [r[n] for n in names]
-    return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)).astype(np.float32)
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
+    return np.round(vectors * UNIT) / UNIT
 
 
 FEATURES = 2 * DIM + 3
@@ -136,15 +142,21 @@ def pooled(texts: list[str], terms: Terms, vectors: np.ndarray) -> np.ndarray:
     for group in _groups(texts):
         w, s, size = terms.rows(group)
         got = np.zeros((len(group), FEATURES), np.float32)
-        full = np.flatnonzero(size)
-        if len(full):
-            begin = (np.cumsum(size) - size)[full]
-            n = size[full][:, None]
-            got[full, :DIM] = np.add.reduceat(vectors[w], begin, axis=0, dtype=np.float64) / n
-            got[full, DIM:2 * DIM] = np.add.reduceat(vectors[s], begin, axis=0, dtype=np.float64) / n
-            got[full, -3] = np.add.reduceat((s == 1).astype(np.float64), begin) / n[:, 0]
-            got[full, -2] = np.log1p(n[:, 0]) / 10
-            got[full, -1] = 1
+        end = np.cumsum(size)
+        for a in range(0, len(group), BLOCK):
+            n = size[a:a + BLOCK]
+            part = slice(end[a] - size[a], end[a + len(n) - 1])
+            owner = np.repeat(np.arange(len(n)), n)
+            words = np.bincount(owner * ROWS + w[part], minlength=len(n) * ROWS).reshape(len(n), ROWS)
+            shapes = np.bincount(owner * SHAPES + s[part], minlength=len(n) * SHAPES).reshape(len(n), SHAPES)
+            least = np.maximum(n, 1)[:, None]
+            # vectors are whole multiples of 1 / UNIT: these sums are exact in any order
+            here = got[a:a + BLOCK]
+            here[:, :DIM] = words.astype(np.float64) @ vectors / least
+            here[:, DIM:2 * DIM] = shapes.astype(np.float64) @ vectors[:SHAPES] / least
+            here[:, -3] = shapes[:, 1] / least[:, 0]
+            here[:, -2] = np.log1p(n) / 10
+            here[:, -1] = n > 0
         out.append(got)
     return np.concatenate(out) if out else np.zeros((0, FEATURES), np.float32)
 
