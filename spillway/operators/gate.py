@@ -1,27 +1,27 @@
-"""Back-pressure gate: queue depth samples -> open/closed per tick -> admission.
+"""Back-pressure gate: queue depth samples -> open/closed state -> admission.
 
-A topic is open at a tick iff its sampled depth is at most ``cache_size``; a
-failed sample (NULL depth) or an unknown topic counts as closed. Messages of a
-closed topic are deferred (left in the source), never dropped.
+A topic is open after a sample iff the sampled depth is at most ``cache_size``; a failed
+sample (NULL depth) closes it. A state holds until the topic's next sample, and topics start
+open. Messages of a closed topic are deferred (left in the source), never dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ticks import tick_end, tick_number
 from ..plans.joins import lookup_join
+from ..session import pin
+from .scan import previous_value, running_sum
 
+SLOT_SECONDS = 3600  # width of the join slots; results do not depend on it
 
-def hour_tick(ts: F.Column) -> F.Column:
-    """Start of the hour of a wall-clock timestamp, kept as a wall-clock value."""
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
 
-
-def hourly_depth_samples(messages: DataFrame) -> DataFrame:
-    """Depth samples from messages: per topic and hour, the number of
-    messages as the sampled length (partial aggregation)."""
-    return (messages.groupBy("topic", hour_tick(F.col("timestamp")).alias("tick"))
+def depth_samples(messages: DataFrame, tick_seconds: int) -> DataFrame:
+    """Depth samples from messages, taken at the end of each tick that has any: the number of
+    its messages as the sampled length (partial aggregation)."""
+    return (messages.groupBy("topic", tick_end(F.col("timestamp"), tick_seconds).alias("tick"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("len")))
 
 
@@ -33,38 +33,58 @@ def gate_state(samples: DataFrame, cache_size: int) -> DataFrame:
 
 
 def gate_transitions(state: DataFrame) -> DataFrame:
-    """pause/resume events, emitted only on a change; topics start open.
-    The window runs over one sample per (topic, tick): bounded by ticks."""
-    w = Window.partitionBy("topic").orderBy("tick")
-    prev = F.lag("is_open", 1, True).over(w)
-    return (state.withColumn("was_open", prev)
+    """pause/resume events, emitted only on a change; topics start open. The previous
+    state comes from a size-checked scan, so a topic with very many samples is split."""
+    return (previous_value(state, ["topic"], ["tick"], "is_open", True, "was_open")
             .where(F.col("was_open") != F.col("is_open"))
             .select("topic", "tick",
                     F.when(F.col("is_open"), F.lit("resume")).otherwise(F.lit("pause"))
                     .alias("event")))
 
 
-def with_gate(messages: DataFrame, state: DataFrame) -> DataFrame:
-    """Messages with the gate state of their topic at their tick."""
-    gates = state.select("topic", "tick", "is_open")
-    keyed = messages.withColumn("tick", hour_tick(F.col("timestamp")))
-    # The gate table is one row per (topic, tick); its size is checked
-    # before it is broadcast, so messages are never shuffled for this.
-    joined = lookup_join(keyed, gates, ["topic", "tick"], "left", label="gate")
-    return joined.withColumn("is_open", F.coalesce(F.col("is_open"), F.lit(False)))
+def gate_slots(messages: DataFrame, state: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+    """(topic, slot, samples, carried): for every slot with messages or samples, the samples in
+    it and the state carried in from the topic's last earlier sample (NULL: none). One row per
+    active (topic, slot); a row holds the samples of one slot only."""
+    slot = tick_number(F.col("tick"), slot_seconds).alias("slot")
+    sample = F.struct("tick", (~F.col("is_open")).alias("closed"))  # of equal ticks, closed counts
+    samples = pin(state.where("topic IS NOT NULL AND tick IS NOT NULL").groupBy("topic", slot)
+                  .agg(F.collect_set(sample).alias("samples")), "gate-samples")
+    active = messages.select("topic", tick_number(F.col("timestamp"), slot_seconds).alias("slot"), F.lit(0).alias("has"))
+    marks = (active.where("topic IS NOT NULL AND slot IS NOT NULL").distinct()
+             .unionByName(samples.select("topic", "slot", F.lit(1).alias("has")))
+             .groupBy("topic", "slot").agg(F.max("has").alias("has")))
+    # sampled slots counted so far: equal counts share the last sampled slot
+    counted = pin(running_sum(marks, ["topic"], ["slot"], F.col("has"), "n"), "gate-slots")
+    last = (counted.where("has = 1").join(samples, ["topic", "slot"])
+            .select("topic", F.col("n").alias("from"), (~F.array_max("samples")["closed"]).alias("carried")))
+    return (counted.withColumn("from", F.col("n") - F.col("has")).join(last, ["topic", "from"], "left")
+            .join(samples, ["topic", "slot"], "left").select("topic", "slot", "samples", "carried"))
+
+
+def with_gate(messages: DataFrame, state: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+    """Messages with the gate state of their topic when they arrive: the last sample at or before
+    their timestamp, open before the first one. A NULL topic has no queue and is never open; a
+    NULL timestamp counts as before the first sample. Messages are not shuffled: the slot table is
+    looked up, and broadcast only after a check of its size."""
+    slots = gate_slots(messages, state, slot_seconds)
+    keyed = messages.withColumn("slot", tick_number(F.col("timestamp"), slot_seconds))
+    joined = lookup_join(keyed, slots, ["topic", "slot"], "left", label="gate")
+    seen = F.filter("samples", lambda s: s["tick"] <= F.col("timestamp"))
+    is_open = F.coalesce(~F.array_max(seen)["closed"], F.col("carried"), F.lit(True)) & F.col("topic").isNotNull()
+    return joined.withColumn("is_open", is_open).drop("slot", "samples", "carried")
 
 
 def admitted(messages: DataFrame, state: DataFrame) -> DataFrame:
-    """Messages whose topic's gate is open at their tick."""
-    return with_gate(messages, state).where(F.col("is_open")).drop("tick", "is_open")
+    """Messages whose topic's gate is open when they arrive."""
+    return with_gate(messages, state).where(F.col("is_open")).drop("is_open")
 
 
 def deferred(messages: DataFrame, state: DataFrame) -> DataFrame:
-    """R12 complement: messages held back (closed or unknown gate)."""
-    return with_gate(messages, state).where(~F.col("is_open")).drop("tick", "is_open")
+    """R12 complement: messages held back."""
+    return with_gate(messages, state).where(~F.col("is_open")).drop("is_open")
 
 
 def split_admission(messages: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
     gated = with_gate(messages, state)
-    return (gated.where(F.col("is_open")).drop("tick", "is_open"),
-            gated.where(~F.col("is_open")).drop("tick", "is_open"))
+    return gated.where(F.col("is_open")).drop("is_open"), gated.where(~F.col("is_open")).drop("is_open")

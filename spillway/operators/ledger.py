@@ -7,9 +7,10 @@ one value per key before the (tiny) shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ticks import at_epoch, epoch_seconds, tick_end
 from ..plans.joins import lookup_join
 from ..session import CONF_GROUP_ROWS, DEFAULT_GROUP_ROWS, conf_int, pin
 from .scan import previous_value, running_sum
@@ -65,14 +66,6 @@ def partition_lag(messages: DataFrame, ledger: DataFrame) -> DataFrame:
                       lag.cast("bigint").alias("lag"))
 
 
-def tick_end(ts: Column, seconds: int) -> Column:
-    """End of the ``seconds``-long publish tick containing ``ts`` (time-zone
-    free arithmetic on a wall-clock timestamp; ``seconds`` divides 60)."""
-    step = F.floor(F.second(ts) / seconds) * seconds + seconds
-    start = F.date_trunc("minute", ts).cast("timestamp_ntz")
-    return start + F.make_interval(secs=step.cast("int"))
-
-
 def ticks_per_key_bound(ledger: DataFrame, tick_seconds: int) -> int:
     """Most ticks any key can have: the time span in ticks (one cheap
     aggregate over the timestamp column, one row back)."""
@@ -101,9 +94,8 @@ def lag_timeline(ledger: DataFrame, tick_seconds: int = 10,
                 .groupBy(*KEY, "tick").agg(F.max_by("offset", "seq").alias("last")))
     change = previous_value(per_tick, KEY, ["tick"], "last", 0, "prev", chunked=chunked) \
         .withColumn("change", F.col("last") - F.col("prev"))
-    # Cluster by topic once: serves both the (topic, tick) sum and the
-    # per-topic running sum (one shuffle instead of two).
-    per_topic = change.repartition("topic").groupBy("topic", "tick").agg(
+    # Summed per (topic, tick) in every task first: no topic meets in one task.
+    per_topic = change.groupBy("topic", "tick").agg(
         F.sum(signed_offset(F.col("role"), F.col("change"))).alias("delta"))
     running = running_sum(per_topic, ["topic"], ["tick"], F.col("delta"), "running",
                           chunked=chunked)
@@ -111,24 +103,24 @@ def lag_timeline(ledger: DataFrame, tick_seconds: int = 10,
                           F.greatest(F.lit(0), F.col("running")).cast("bigint").alias("lag"))
 
 
-def dense_lag_timeline(sparse: DataFrame, tick_seconds: int = 10) -> DataFrame:
+def dense_lag_timeline(sparse: DataFrame, tick_seconds: int = 10, piece: int = 4096) -> DataFrame:
     """R25, every tick: from a topic's first published tick to the last tick
-    of any topic, the lag as last published (forward fill). The sparse
-    timeline is pinned once; its last tick comes back as one scalar and the
-    grid is generated per topic (``sequence`` + ``explode``), so its size is
-    topics x ticks, bounded by the time span, never by message volume."""
+    of any topic, the lag as last published. The sparse timeline is pinned
+    once; its last tick comes back as one scalar. Each row is repeated up to
+    the topic's next row, found by a size-checked scan, and a long gap is
+    cut into pieces of ``piece`` ticks, so no row holds a whole time span."""
     sparse = pin(sparse, "lag-timeline")
-    last = sparse.agg(F.max("tick")).first()[0]
+    last = sparse.agg(F.max(epoch_seconds(F.col("tick")))).first()[0]
     if last is None:
         return sparse
-    step = F.make_interval(secs=F.lit(tick_seconds))
-    grid = sparse.groupBy("topic").agg(F.min("tick").alias("first")).select(
-        "topic", F.explode(F.sequence("first", F.lit(last).cast("timestamp_ntz"), step))
-        .alias("tick"))
-    w = (Window.partitionBy("topic").orderBy("tick")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (grid.join(sparse, ["topic", "tick"], "left")
-            .select("topic", "tick", F.last("lag", ignorenulls=True).over(w).alias("lag")))
+    # the next row is the previous one in descending order
+    rows = sparse.select("topic", "lag", epoch_seconds(F.col("tick")).alias("at")).withColumn("back", -F.col("at"))
+    rows = previous_value(rows, ["topic"], ["back"], "at", last + tick_seconds, "next")
+    ticks = F.floor((F.col("next") - F.col("at")) / tick_seconds)
+    rows = rows.withColumn("n", ticks).withColumn("cut", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / piece))))
+    here = F.least(F.col("n") - F.col("cut") * piece, F.lit(piece)) - 1
+    rows = rows.select("topic", "lag", "at", "cut", F.explode(F.sequence(F.lit(0).cast("bigint"), here)).alias("i"))
+    return rows.select("topic", at_epoch(F.col("at") + (F.col("cut") * piece + F.col("i")) * tick_seconds).alias("tick"), "lag")
 
 
 def replay(messages: DataFrame, positions: DataFrame) -> DataFrame:

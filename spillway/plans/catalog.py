@@ -24,12 +24,14 @@ from ..sources.tables import table
 OPTIONS = RelayOptions(
     topics=("click", "error", "purchase", "signup", "view", "refund"),
     prefix_redis="queues:",
-    cache_size=2,  # against hourly depth samples: both gate states occur
+    cache_size=2,  # against half-hourly depth samples: both gate states occur
     consumer_group="relay",
 )
 SUBSCRIBED = ("click", "purchase", "signup")
 POP_N = 5
 LAG_TICK_S = 10
+GATE_TICK_S = 1800
+NO_TOPIC_LANG = "es"  # documents in it arrive without a topic
 BATCH_SEQ = 1000  # messages per relay batch (seq // BATCH_SEQ)
 EARLY_CUT = dt.datetime(2024, 1, 1, 2)  # position snapshot for offset text
 OLD_LAG_CUT = dt.datetime(2024, 1, 20)  # lag table version 1
@@ -136,8 +138,10 @@ def subscribe_filter(spark, sf):
 
 def _records(spark, sf):
     msgs = _messages(spark, sf).select("topic", "seq", "value")
-    docs = document_payloads(table(spark, sf, "documents")).select("topic", "seq", "value")
-    return msgs.unionByName(docs)
+    # some documents arrive without a topic, so both halves of the split have rows
+    docs = table(spark, sf, "documents")
+    docs = docs.withColumn("source", F.when(F.col("lang") != NO_TOPIC_LANG, F.col("source")))
+    return msgs.unionByName(document_payloads(docs).select("topic", "seq", "value"))
 
 
 def valid_records_q(spark, sf):
@@ -149,7 +153,7 @@ def rejected_records_q(spark, sf):
 
 
 def _gate_state(msgs):
-    return gate.gate_state(gate.hourly_depth_samples(msgs), OPTIONS.cache_size)
+    return gate.gate_state(gate.depth_samples(msgs, GATE_TICK_S), OPTIONS.cache_size)
 
 
 def admitted_q(spark, sf):
@@ -259,6 +263,7 @@ def lag_service(spark, sf):
     opts = RelayOptions(topics=staged_topics(spark, staged), prefix_redis=OPTIONS.prefix_redis)
     queue_path = scratch_path(spark, "service-queue")
     for query in start_relay(spark, opts, queue_path, scratch_path(spark, "service-relay"),
+                             gated=False,  # a bounded source, and nothing pops here
                              source=lambda group: group_stream(spark, staged, group, 1)):
         query.awaitTermination()
     positions = file_stream(spark, stage_files(_offsets(spark, sf), files=4)).select(

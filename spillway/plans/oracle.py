@@ -59,14 +59,28 @@ RELAY = """relay AS (
   FROM routed)"""
 
 GATE = """gate AS (
-  SELECT topic, date_trunc('hour', "timestamp") AS tick, CAST(count(*) AS BIGINT) AS len,
-         coalesce(count(*) <= 2, false) AS is_open
-  FROM messages GROUP BY topic, date_trunc('hour', "timestamp"))"""
+  SELECT topic, time_bucket(INTERVAL 30 MINUTE, "timestamp", TIMESTAMP '1970-01-01') + INTERVAL 30 MINUTE AS tick,
+         CAST(count(*) AS BIGINT) AS len, count(*) <= 2 AS is_open
+  FROM messages GROUP BY ALL)"""
 
 GATED = """gated AS (
-  SELECT m.*, coalesce(g.is_open, false) AS is_open
-  FROM messages m LEFT JOIN gate g
-    ON g.topic = m.topic AND g.tick = date_trunc('hour', m."timestamp"))"""
+  SELECT m.*, coalesce(g.is_open, true) AS is_open
+  FROM messages m ASOF LEFT JOIN gate g ON g.topic = m.topic AND m."timestamp" >= g.tick)"""
+
+# Lag at the end of every tick with activity, straight from its definition: the last position of
+# each (role, partition) before the tick's end.
+LAG_LINE = """spots AS (
+  SELECT DISTINCT topic, time_bucket(INTERVAL 10 SECOND, "timestamp", TIMESTAMP '1970-01-01') + INTERVAL 10 SECOND AS tick
+  FROM ledger),
+keys AS (SELECT DISTINCT role, topic, "partition" FROM ledger),
+asked AS (SELECT s.topic, s.tick, k.role, k."partition" FROM spots s JOIN keys k USING (topic)),
+known AS (
+  SELECT a.topic, a.tick, a.role, coalesce(l."offset", 0) AS pos
+  FROM asked a ASOF LEFT JOIN ledger l
+    ON l.topic = a.topic AND l.role = a.role AND l."partition" = a."partition" AND a.tick > l."timestamp"),
+line AS (
+  SELECT topic, tick, CAST(greatest(0, sum(CASE WHEN role = 'all' THEN pos ELSE -pos END)) AS BIGINT) AS lag
+  FROM known GROUP BY topic, tick)"""
 
 MSG_COLS = 'topic, "partition", "offset", "timestamp", value, seq'
 
@@ -157,12 +171,12 @@ FROM texts""",
     "valid_records": _with(MESSAGES) + """
 SELECT topic, seq, value FROM (
   SELECT topic, seq, value FROM messages
-  UNION ALL SELECT source AS topic, doc_id AS seq, text AS value FROM documents)
+  UNION ALL SELECT CASE WHEN lang <> 'es' THEN source END AS topic, doc_id AS seq, text AS value FROM documents)
 WHERE topic IS NOT NULL""",
     "rejected_records": _with(MESSAGES) + """
 SELECT topic, seq, value, 'missing_topic' AS reason FROM (
   SELECT topic, seq, value FROM messages
-  UNION ALL SELECT source AS topic, doc_id AS seq, text AS value FROM documents)
+  UNION ALL SELECT CASE WHEN lang <> 'es' THEN source END AS topic, doc_id AS seq, text AS value FROM documents)
 WHERE topic IS NULL""",
     "admitted": _with(MESSAGES, GATE, GATED) + f"SELECT {MSG_COLS} FROM gated WHERE is_open",
     "deferred": _with(MESSAGES, GATE, GATED) + f"SELECT {MSG_COLS} FROM gated WHERE NOT is_open",
@@ -216,57 +230,13 @@ SELECT topic, tick, CASE WHEN is_open THEN 'resume' ELSE 'pause' END AS event
 FROM (SELECT *, lag(is_open, 1, true) OVER (PARTITION BY topic ORDER BY tick) AS was_open
       FROM gate)
 WHERE was_open <> is_open""",
-    "lag_timeline": _with(MESSAGES, LEDGER) + """,
-ticked AS (
-  SELECT *, date_trunc('minute', "timestamp")
-            + to_seconds(CAST(floor(second("timestamp") / 10) * 10 + 10 AS BIGINT)) AS tick
-  FROM ledger),
-per_tick AS (
-  SELECT role, topic, "partition", tick, max_by("offset", seq) AS last
-  FROM ticked GROUP BY role, topic, "partition", tick),
-changes AS (
-  SELECT *, last - lag(last, 1, 0) OVER (PARTITION BY role, topic, "partition" ORDER BY tick)
-         AS change
-  FROM per_tick),
-per_topic AS (
-  SELECT topic, tick, sum(CASE WHEN role = 'all' THEN change ELSE -change END) AS delta
-  FROM changes GROUP BY topic, tick)
-SELECT topic, tick,
-       CAST(greatest(0, sum(delta) OVER (PARTITION BY topic ORDER BY tick
-                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-            AS BIGINT) AS lag
-FROM per_topic""",
-    "lag_timeline_dense": _with(MESSAGES, LEDGER) + """,
-ticked AS (
-  SELECT *, date_trunc('minute', "timestamp")
-            + to_seconds(CAST(floor(second("timestamp") / 10) * 10 + 10 AS BIGINT)) AS tick
-  FROM ledger),
-per_tick AS (
-  SELECT role, topic, "partition", tick, max_by("offset", seq) AS last
-  FROM ticked GROUP BY role, topic, "partition", tick),
-changes AS (
-  SELECT *, last - lag(last, 1, 0) OVER (PARTITION BY role, topic, "partition" ORDER BY tick)
-         AS change
-  FROM per_tick),
-per_topic AS (
-  SELECT topic, tick, sum(CASE WHEN role = 'all' THEN change ELSE -change END) AS delta
-  FROM changes GROUP BY topic, tick),
-sparse AS (
-  SELECT topic, tick,
-         CAST(greatest(0, sum(delta) OVER (PARTITION BY topic ORDER BY tick
-                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-              AS BIGINT) AS lag
-  FROM per_topic),
-bounds AS (SELECT topic, min(tick) AS first_tick FROM sparse GROUP BY topic),
+    "lag_timeline": _with(MESSAGES, LEDGER, LAG_LINE) + "SELECT topic, tick, lag FROM line",
+    "lag_timeline_dense": _with(MESSAGES, LEDGER, LAG_LINE) + """,
 grid AS (
-  SELECT b.topic, unnest(generate_series(b.first_tick, (SELECT max(tick) FROM sparse),
-                                         INTERVAL 10 SECOND)) AS tick
-  FROM bounds b)
-SELECT g.topic, g.tick,
-       last_value(s.lag IGNORE NULLS) OVER (PARTITION BY g.topic ORDER BY g.tick
-                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-         AS lag
-FROM grid g LEFT JOIN sparse s USING (topic, tick)""",
+  SELECT topic, unnest(generate_series(min(tick), (SELECT max(tick) FROM line), INTERVAL 10 SECOND)) AS tick
+  FROM line GROUP BY topic)
+SELECT g.topic, g.tick, l.lag
+FROM grid g ASOF JOIN line l ON l.topic = g.topic AND g.tick >= l.tick""",
     "relay_stream": _with(MESSAGES, ROUTED)
     + 'SELECT queue, payload, topic, "partition", "offset" FROM routed',
     "lag_stream": _with(MESSAGES, LEDGER, LATEST, LAG) + "SELECT topic, lag FROM lag_tbl",

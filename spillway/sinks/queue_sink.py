@@ -45,6 +45,29 @@ def write_queue(rows: DataFrame, path: str, clustered: bool = False) -> None:
      .partitionBy("queue", "batch_id").parquet(path))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked of the file system that the path names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def claim_writers(spark: SparkSession, path: str, writers: dict[str, str]) -> None:
+    """Records which writer (a checkpoint) fills the queue table for each topic, beside the table.
+
+    Batch numbers are a writer's own, so a topic that moved to another writer would start at
+    batch 0 again and repeat or overwrite rows: that is refused."""
+    log = f"{path}-writers"
+    known = {}
+    if path_exists(spark, log):
+        known = {r.topic: r.writer for r in spark.read.schema("topic string, writer string").json(log).collect()}  # one row a topic
+    moved = sorted(t for t, w in writers.items() if known.get(t, w) != w)
+    if moved:
+        raise ValueError(f"topics {moved} were written to {path} by another query: keep their grouping and checkpoint, or use a new table")
+    new = [(t, w) for t, w in writers.items() if t not in known]
+    if new:
+        spark.createDataFrame(new, "topic string, writer string").coalesce(1).write.mode("append").json(log)
+
+
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.schema(QUEUE_SCHEMA).parquet(path)  # inferred folder types would turn queue 007 into 7
     return df.select("queue", "pos", "payload", "topic", "partition", "offset",

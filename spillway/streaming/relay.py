@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.queue import QUEUE_COLUMNS, route, with_positions
+from ..operators.routing import valid_records
 from ..options import RelayOptions
 from ..session import scratch_path
-from ..sinks.queue_sink import read_queue, with_retry, write_queue
+from ..sinks.queue_sink import claim_writers, path_exists, read_queue, with_retry, write_queue
 from .source import file_stream, stage_files, stream_partitions
 
 DepthProbe = Callable[[str], "int | None"]
@@ -49,16 +50,18 @@ def wait_until_open(queue: str, probe: DepthProbe, cache_size: int, poll_s: floa
 def batch_writer(path: str, options: RelayOptions, topics: tuple[str, ...],
                  probe: DepthProbe | None = None,
                  fault: Callable[[int, int], None] | None = None,
-                 retries: list | None = None):
+                 retries: list | None = None, counters: str | None = None):
     """``foreachBatch`` function: gate wait for every queue of the group, then
-    an idempotent queue write."""
+    an idempotent queue write. Records without a topic are rejected and
+    counted. ``counters``: a table with one row per (writer, batch), also
+    overwritten by a replay."""
     queues = [options.queue_of(t) for t in topics]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if probe is not None:
             for queue in queues:  # a group waits for its fullest queue
                 wait_until_open(queue, probe, options.cache_size, options.controller_time_s)
-        rows = with_positions(route(batch, options.prefix_redis, batch_id=batch_id),
+        rows = with_positions(route(valid_records(batch), options.prefix_redis, batch_id=batch_id),
                               chunked=False).select(*QUEUE_COLUMNS)
         tries = {"n": 0}
 
@@ -69,6 +72,8 @@ def batch_writer(path: str, options: RelayOptions, topics: tuple[str, ...],
             write_queue(rows, path, clustered=True)  # one batch, clustered by queue
 
         used = with_retry(attempt, options.sink_max_attempts, options.sink_retry_delay_s)
+        if counters is not None:
+            write_counters(batch, "+".join(topics), batch_id, counters)
         if retries is not None:
             retries.append((",".join(topics), batch_id, used))
 
@@ -101,14 +106,17 @@ def run_relay(spark: SparkSession, staged: str, topics: tuple[str, ...], options
               retries: list | None = None, topics_per_query: int = 1
               ) -> dict[str, dict[str, int]]:
     """Start one query per topic group, drain everything available, wait for
-    all; returns the observed per-group counters."""
+    all; returns the counters of every group, over all its batches."""
     queries = []
+    groups = topic_groups(topics, topics_per_query)
+    counters = f"{checkpoint_root}/counters"
+    claim_writers(spark, sink, {t: f"{checkpoint_root}/{_stable_id('+'.join(g))}" for g in groups for t in g})
     with stream_partitions(spark):
-        for group in topic_groups(topics, topics_per_query):
+        for group in groups:
             name = "+".join(group)
             stream = observe_relay(group_stream(spark, staged, group, files_per_trigger), name)
             q = (stream.writeStream
-                 .foreachBatch(batch_writer(sink, options, group, probe, fault, retries))
+                 .foreachBatch(batch_writer(sink, options, group, probe, fault, retries, counters))
                  .option("checkpointLocation", f"{checkpoint_root}/{_stable_id(name)}")
                  .trigger(availableNow=True)
                  .queryName(f"relay_{_stable_id(checkpoint_root + name)}")
@@ -122,7 +130,7 @@ def run_relay(spark: SparkSession, staged: str, topics: tuple[str, ...], options
             errors.append(err)
     if errors:
         raise errors[0]
-    return relay_metrics(queries)
+    return relay_metrics(spark, counters)
 
 
 def observe_relay(stream: DataFrame, topic: str) -> DataFrame:
@@ -131,19 +139,26 @@ def observe_relay(stream: DataFrame, topic: str) -> DataFrame:
                           F.max("offset").alias("last_offset"))
 
 
-def relay_metrics(queries) -> dict[str, dict[str, int]]:
-    """Sum the observed counters of every finished relay query per topic."""
-    out: dict[str, dict[str, int]] = {}
-    for q in queries:
-        for progress in q.recentProgress:
-            for name, row in (progress.get("observedMetrics") or {}).items():
-                topic = name.removeprefix("relay_")
-                acc = out.setdefault(topic, {"seen": 0, "last_offset": -1, "batches": 0})
-                acc["seen"] += int(row["seen"])
-                acc["batches"] += 1
-                if row["last_offset"] is not None:
-                    acc["last_offset"] = max(acc["last_offset"], int(row["last_offset"]))
-    return out
+COUNTER_SCHEMA = "seen bigint, rejected bigint, last_offset bigint, writer string, batch_id bigint"
+
+
+def write_counters(batch: DataFrame, writer: str, batch_id: int, path: str) -> None:
+    """R31 on a stream, kept: one row for each (writer, batch); a replayed batch replaces its row."""
+    row = batch.agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col("topic").isNull()).alias("rejected"),
+                    F.max(F.when(F.col("topic").isNotNull(), F.col("offset"))).cast("bigint").alias("last_offset"))
+    (row.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("writer", "batch_id").parquet(path))
+
+
+def relay_metrics(spark: SparkSession, path: str) -> dict[str, dict[str, int]]:
+    """Counters of every writer summed over all its batches (one row a writer)."""
+    if not path_exists(spark, path):
+        return {}
+    rows = spark.read.schema(COUNTER_SCHEMA).parquet(path).groupBy("writer").agg(
+        F.sum("seen").alias("seen"), F.sum("rejected").alias("rejected"), F.count(F.lit(1)).alias("batches"),
+        F.coalesce(F.max("last_offset"), F.lit(-1)).alias("last_offset"))
+    return {r.writer: {"seen": r.seen, "rejected": r.rejected, "pushed": r.seen - r.rejected,
+                       "last_offset": r.last_offset, "batches": r.batches} for r in rows.collect()}
 
 
 def staged_topics(spark: SparkSession, staged: str) -> tuple[str, ...]:

@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.ledger import KEY
 from ..options import RelayOptions
 from ..sinks.lag_sink import LagTable
-from ..sinks.queue_sink import QUEUE_SCHEMA
+from ..sinks.pop_log import depth_probe
+from ..sinks.queue_sink import QUEUE_SCHEMA, claim_writers
 from .lag import publish_batch
 from .relay import DepthProbe, _stable_id, batch_writer, observe_relay, topic_groups
 from .source import positions_stream, stream_partitions, topic_stream
@@ -29,16 +30,27 @@ def _trigger(seconds: float | None) -> dict:
 
 def start_relay(spark: SparkSession, options: RelayOptions, queue_path: str,
                 checkpoint_root: str, probe: DepthProbe | None = None,
-                topics_per_query: int = 1, source=None) -> list[StreamingQuery]:
+                topics_per_query: int = 1, source=None, gated: bool = True,
+                pop_log: str | None = None) -> list[StreamingQuery]:
     """One query per topic group from the topic source (``source(topics)``
-    defaults to the Kafka source), triggered every ``controller_time_s``."""
+    defaults to the Kafka source), triggered every ``controller_time_s``.
+
+    Every batch waits until its queues hold at most ``cache_size`` items. The
+    default probe counts what is pushed to the queue table and not yet popped
+    (``pop_log``, by default beside the table); ``gated=False`` drains a
+    bounded source without consumers."""
     make = source or (lambda topics: topic_stream(spark, options, topics))
+    if gated and probe is None:
+        probe = depth_probe(spark, queue_path, pop_log or f"{queue_path}-pops")
     queries = []
+    groups = topic_groups(tuple(options.topics), topics_per_query)
+    claim_writers(spark, queue_path, {t: f"{checkpoint_root}/{_stable_id('+'.join(g))}" for g in groups for t in g})
     with stream_partitions(spark):
-        for group in topic_groups(tuple(options.topics), topics_per_query):
+        for group in groups:
             name = "+".join(group)
             q = (observe_relay(make(group), name).writeStream
-                 .foreachBatch(batch_writer(queue_path, options, group, probe))
+                 .foreachBatch(batch_writer(queue_path, options, group, probe if gated else None,
+                                           counters=f"{checkpoint_root}/counters"))
                  .option("checkpointLocation", f"{checkpoint_root}/{_stable_id(name)}")
                  .trigger(**_trigger(options.controller_time_s if source is None else None))
                  .queryName(f"relay_{_stable_id(checkpoint_root + name)}")

@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from spillway.functions.envelope import envelope, payload_text, repaired
 from spillway.functions.ledger_keys import (key_is_ledger, key_partition, key_role_is_all,
                                             key_topic, ledger_key, parse_offset)
+from spillway.functions.ticks import tick_end
 from spillway.operators import gate, gauge, ledger as led, queue as q
 
 
@@ -73,16 +75,66 @@ def test_gate_state_and_transitions(spark):
     assert [r.event for r in ev] == ["pause", "resume"] and hours == [2, 4]
 
 
-def test_admission_unknown_topic_is_deferred(spark):
-    ts = dt.datetime(2024, 1, 1)
-    msgs = spark.createDataFrame([("known", 0, 0, ts, "x", 1), ("other", 0, 0, ts, "y", 2)],
-                                 "topic string, partition int, offset bigint, "
-                                 "timestamp timestamp_ntz, value string, seq bigint")
-    state = gate.gate_state(spark.createDataFrame([("known", ts, 1)],
-                                                  "topic string, tick timestamp_ntz, len bigint"), 5)
+MESSAGE = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value string, seq bigint"
+
+
+def test_admission_starts_open_and_carries_the_last_state(spark):
+    at = lambda h, m, s=0: dt.datetime(2024, 1, 1, h, m, s)
+    samples = [("t", at(0, 5), 9), ("t", at(0, 7), 1), ("t", at(5, 0), None), ("u", at(0, 5), 9), ("u", at(0, 5), 1), (None, at(0, 1), 1)]
+    state = gate.gate_state(spark.createDataFrame(samples, "topic string, tick timestamp_ntz, len bigint"), 5)
+    want = {("t", at(0, 4, 59)): True, ("t", at(0, 5)): False, ("t", at(0, 6, 59)): False, ("t", at(0, 7)): True,
+            ("t", at(3, 30)): True, ("t", at(4, 59)): True, ("t", at(5, 0)): False, ("t", at(9, 0)): False,
+            ("u", at(0, 6)): False,  # two samples at once: closed counts
+            ("other", at(0, 0)): True, (None, at(0, 2)): False, ("t", None): True}
+    rows = [(t, 0, i, ts, "x", i) for i, (t, ts) in enumerate(want)]
+    msgs = spark.createDataFrame(rows, MESSAGE)
+    for slot in (60, 3600, 10 ** 6):  # the join slots do not show in results
+        got = {(r.topic, r.timestamp): r.is_open for r in gate.with_gate(msgs, state, slot).collect()}
+        assert got == want, slot
     ok, held = gate.split_admission(msgs, state)
-    assert [r.topic for r in ok.collect()] == ["known"]
-    assert [r.topic for r in held.collect()] == ["other"]
+    assert ok.columns == msgs.columns and ok.count() + held.count() == len(rows)
+    none = state.where("topic = 'nobody'")
+    assert gate.deferred(msgs, none).count() == 1  # only the record without a topic
+
+
+def test_gate_slots_on_both_scan_plans(spark):
+    base = dt.datetime(2024, 1, 1)
+    samples = [("t", base + dt.timedelta(minutes=37 * i), i % 7) for i in range(60)]
+    state = gate.gate_state(spark.createDataFrame(samples, "topic string, tick timestamp_ntz, len bigint"), 3)
+    msgs = spark.createDataFrame([("t", 0, i, base + dt.timedelta(minutes=11 * i), "x", i) for i in range(200)], MESSAGE)
+    both = []
+    for limit in ("0", "2000000"):
+        spark.conf.set("spillway.scan.maxGroupRows", limit)
+        try:
+            both.append(sorted(r.offset for r in gate.admitted(msgs, state).collect()))
+            both.append(sorted((r.tick, r.event) for r in gate.gate_transitions(state).collect()))
+        finally:
+            spark.conf.unset("spillway.scan.maxGroupRows")
+    assert both[:2] == both[2:] and both[0]
+
+
+@pytest.mark.parametrize("seconds", [1, 7, 10, 45, 90, 3600, 86400])
+def test_ticks_of_any_length_in_any_zone(spark, seconds):
+    epoch = dt.datetime(1970, 1, 1)
+    times = [dt.datetime(2024, 1, 1, 0, 3, 50, 999999), dt.datetime(2024, 3, 10, 2, 30), dt.datetime(1969, 12, 31, 23, 59, 59), epoch]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = {r.ts: r.e for r in df.select("ts", tick_end(F.col("ts"), seconds).alias("e")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    step = dt.timedelta(seconds=seconds)
+    assert got == {t: epoch + ((t - epoch) // step + 1) * step for t in times}
+
+
+def test_dense_timeline_fills_gaps_in_pieces(spark):
+    base = dt.datetime(2024, 1, 1)
+    sparse = [("a", 0, 3), ("a", 25, 1), ("a", 26, 0), ("b", 7, 5)]  # ticks of 90 s
+    df = spark.createDataFrame([(t, base + dt.timedelta(seconds=90 * i), lag) for t, i, lag in sparse], "topic string, tick timestamp_ntz, lag bigint")
+    got = sorted((r.topic, (r.tick - base).total_seconds() / 90, r.lag) for r in led.dense_lag_timeline(df, 90, piece=4).collect())
+    assert got == [("a", i, 3 if i < 25 else 1 if i < 26 else 0) for i in range(27)] + [("b", i, 5) for i in range(7, 27)]
+    assert led.dense_lag_timeline(df.limit(0), 90).count() == 0
 
 
 def _ledger(spark, rows):

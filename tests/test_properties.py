@@ -20,7 +20,7 @@ def same_rows(a, b):
 
 
 def test_admitted_and_deferred_partition_the_input(msgs):
-    state = gate.gate_state(gate.hourly_depth_samples(msgs), OPTIONS.cache_size)
+    state = gate.gate_state(gate.depth_samples(msgs, 1800), OPTIONS.cache_size)
     ok, held = gate.split_admission(msgs, state)
     assert ok.count() > 0 and held.count() > 0
     assert ok.join(held, ["topic", "partition", "offset"]).count() == 0

@@ -13,7 +13,8 @@ from spillway.session import scratch_path
 from spillway.sinks.queue_sink import read_queue, with_retry
 from spillway.sources.messages import ledger, load_messages
 from spillway.streaming.lag import lag_stream
-from spillway.streaming.relay import (relay_stream, run_relay, staged_topics, wait_until_open)
+from spillway.streaming.relay import (relay_metrics, relay_stream, run_relay, staged_topics, wait_until_open,
+                                      write_counters)
 from spillway.streaming.source import kafka_options, stage_files
 
 OPTS = RelayOptions(topics=("click", "view"), prefix_redis="q:", sink_retry_delay_s=0.01,
@@ -67,6 +68,29 @@ def test_relay_metrics_observed(spark):
     assert {t: (m["seen"], m["last_offset"]) for t, m in metrics.items()} == want
 
 
+def test_counters_cover_every_batch_and_replays(spark):
+    msgs = load_messages(spark, SF_SMALL).where(F.col("topic") == "click").limit(130)
+    path = scratch_path(spark, "t-counters")
+    for batch_id in [*range(115), 7]:  # a stream's progress keeps 100 updates; batch 7 is replayed
+        if batch_id % 23 == 7 or batch_id == 0:
+            write_counters(msgs, "click", batch_id, path)
+    rejected = msgs.limit(5).withColumn("topic", F.lit(None).cast("string"))
+    write_counters(rejected, "click", 200, path)
+    n = msgs.count()
+    assert relay_metrics(spark, path)["click"] == {"seen": 6 * n + 5, "pushed": 6 * n, "rejected": 5, "batches": 7,
+                                                   "last_offset": msgs.agg(F.max("offset")).first()[0]}
+
+
+def test_regrouping_on_the_same_sink_is_refused(spark):
+    msgs = load_messages(spark, SF_SMALL).where(F.col("topic").isin("click", "view"))
+    staged = stage_files(msgs, files=2, by_topic=True)
+    _, sink, ckpt = _run(spark, staged, OPTS)
+    with pytest.raises(ValueError, match="another query"):
+        run_relay(spark, staged, ("click", "view"), OPTS, sink, ckpt, topics_per_query=2)
+    _run(spark, staged, OPTS, sink=sink, ckpt=ckpt)  # the same grouping goes on
+    assert read_queue(spark, sink).count() == msgs.count()
+
+
 def test_grouped_relay_equals_per_topic(spark):
     msgs = load_messages(spark, SF_SMALL)
     staged = stage_files(msgs, files=3, by_topic=True)
