@@ -25,15 +25,16 @@ FIFO_ORDER = ["timestamp", "partition", "offset"]
 FIFO_KEY = ["batch_id", "pos"]
 
 
-def route(messages: DataFrame, prefix: str = "", batch_id: int | Column | None = 0) -> DataFrame:
+def route(messages: DataFrame, prefix: str = "", batch_id: int | Column | None = 0,
+          keep: Sequence[str] = ()) -> DataFrame:
     """R13 without positions: every message wrapped and routed to its topic's
-    queue. Narrow (no shuffle): projection only."""
+    queue. Narrow (no shuffle): projection only. ``keep``: further columns."""
     batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
     return messages.select(
         queue_name(F.col("topic"), prefix).alias("queue"),
         envelope(payload_text(F.col("value"))).alias("payload"),
         "topic", "partition", "offset", "timestamp",
-        batch.cast("bigint").alias("batch_id"))
+        batch.cast("bigint").alias("batch_id"), *keep)
 
 
 def with_positions(routed: DataFrame, order: Sequence[str] = FIFO_ORDER,
@@ -43,8 +44,20 @@ def with_positions(routed: DataFrame, order: Sequence[str] = FIFO_ORDER,
 
 
 def relay_batch(messages: DataFrame, prefix: str = "", chunked: bool | None = None) -> DataFrame:
-    """The queue table a relay run produces from a message table."""
-    return with_positions(route(messages, prefix), chunked=chunked).select(*QUEUE_COLUMNS)
+    """The queue table a relay run produces from a message table. Messages
+    are numbered per topic (one queue each) first and wrapped after the
+    shuffle, so the shuffle carries plain values."""
+    placed = row_index(messages, ["topic"], FIFO_ORDER, "pos", chunked=chunked)
+    return route(placed, prefix, keep=["pos"]).select(*QUEUE_COLUMNS)
+
+
+def pop_messages(messages: DataFrame, prefix: str = "", n: int = 1) -> DataFrame:
+    """R13 and R20 in one: the first ``n`` queue items of every topic of a
+    message table. A per-topic top-n on the arrival order: every task keeps at
+    most ``n`` messages of a topic before the shuffle, and only those are wrapped."""
+    first = F.row_number().over(Window.partitionBy("topic").orderBy(*FIFO_ORDER))
+    placed = messages.withColumn("pos", first.cast("bigint")).where(F.col("pos") <= n).withColumn("pos", F.col("pos") - 1)
+    return route(placed, prefix, keep=["pos"]).select(*QUEUE_COLUMNS)
 
 
 def queue_depth(queue: DataFrame, queues: Sequence[str]) -> DataFrame:

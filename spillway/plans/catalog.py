@@ -49,6 +49,11 @@ def _offsets(spark, sf):
     return load_messages(spark, sf, payload=False)
 
 
+def _arrivals(spark, sf):
+    """Messages without offsets and payloads, for queries that count or name."""
+    return load_messages(spark, sf, payload=False, offsets=False)
+
+
 # ------------------------------------------------------------- scans / sinks
 
 def ledger_all(spark, sf):
@@ -99,7 +104,7 @@ def envelope_q(spark, sf):
 
 
 def queue_name_q(spark, sf):
-    return _messages(spark, sf).select(
+    return _arrivals(spark, sf).select(
         "seq", "topic", queue_name(F.col("topic"), OPTIONS.prefix_redis).alias("queue"))
 
 
@@ -133,11 +138,11 @@ def offset_parse(spark, sf):
 # ------------------------------------------------------------- filters, routing
 
 def subscribe_filter(spark, sf):
-    return routing.subscribe(_messages(spark, sf), SUBSCRIBED)
+    return routing.subscribe(load_messages(spark, sf, topics=SUBSCRIBED), SUBSCRIBED)
 
 
 def _records(spark, sf):
-    msgs = _messages(spark, sf).select("topic", "seq", "value")
+    msgs = load_messages(spark, sf, offsets=False).select("topic", "seq", "value")
     # some documents arrive without a topic, so both halves of the split have rows
     docs = table(spark, sf, "documents")
     docs = docs.withColumn("source", F.when(F.col("lang") != NO_TOPIC_LANG, F.col("source")))
@@ -158,12 +163,12 @@ def _gate_state(msgs):
 
 def admitted_q(spark, sf):
     msgs = _messages(spark, sf)
-    return gate.admitted(msgs, _gate_state(msgs))
+    return gate.admitted(msgs, _gate_state(_arrivals(spark, sf)))
 
 
 def deferred_q(spark, sf):
     msgs = _messages(spark, sf)
-    return gate.deferred(msgs, _gate_state(msgs))
+    return gate.deferred(msgs, _gate_state(_arrivals(spark, sf)))
 
 
 def relay_batch_q(spark, sf):
@@ -195,14 +200,14 @@ def committed_position(spark, sf):
 
 
 def queue_depth(spark, sf):
-    routed = q.route(_messages(spark, sf), OPTIONS.prefix_redis)
+    routed = _arrivals(spark, sf).select(queue_name(F.col("topic"), OPTIONS.prefix_redis).alias("queue"))
     return q.queue_depth(routed, [OPTIONS.queue_of(t) for t in OPTIONS.topics])
 
 
 # ------------------------------------------------------------- queues, windows
 
 def queue_pop(spark, sf):
-    return q.queue_pop(relay_batch_q(spark, sf), POP_N)
+    return q.pop_messages(_messages(spark, sf), OPTIONS.prefix_redis, POP_N)
 
 
 def queue_remaining(spark, sf):
@@ -221,11 +226,11 @@ def queue_depth_timeline(spark, sf):
 
 
 def gate_state_q(spark, sf):
-    return _gate_state(_offsets(spark, sf))
+    return _gate_state(_arrivals(spark, sf))
 
 
 def gate_transitions_q(spark, sf):
-    return gate.gate_transitions(_gate_state(_offsets(spark, sf)))
+    return gate.gate_transitions(_gate_state(_arrivals(spark, sf)))
 
 
 def lag_timeline(spark, sf):
@@ -295,7 +300,7 @@ def replay_q(spark, sf):
 
 def relay_counts_q(spark, sf):
     msgs = _offsets(spark, sf)
-    return routing.relay_counts(gate.with_gate(msgs, _gate_state(msgs)))
+    return routing.relay_counts(gate.with_gate(msgs, _gate_state(_arrivals(spark, sf))))
 
 
 QUERIES: dict[str, Query] = {

@@ -8,6 +8,7 @@ offsets, so the adapters below derive them; real topic sources carry them.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,13 +35,15 @@ FORMAL_CUT = dt.datetime(2024, 1, 10)
 
 
 def messages_from_events(events: DataFrame, partitions: int = PARTITIONS,
-                         chunked: bool | None = None, payload: bool = True) -> DataFrame:
+                         chunked: bool | None = None, payload: bool = True,
+                         offsets: bool = True) -> DataFrame:
     """events -> messages: topic=event_type, partition=user_id % n,
     offset = position in (ts, event_id) order within (topic, partition).
 
     ``payload=False`` leaves the value out (offset-only readers: ledgers, lag,
     gates). The window plan would prune it anyway, but the skew-safe plan
-    pins its input eagerly, so the projection has to be explicit."""
+    pins its input eagerly, so the projection has to be explicit.
+    ``offsets=False`` skips the numbering for readers that only count or name."""
     cols = [
         F.col("event_type").alias("topic"),
         (F.col("user_id") % partitions).cast("int").alias("partition"),
@@ -49,6 +52,8 @@ def messages_from_events(events: DataFrame, partitions: int = PARTITIONS,
     if payload:
         cols.append(F.col("props").alias("value"))
     base = events.select(*cols, F.col("event_id").alias("seq"))
+    if not offsets:
+        return base
     with_offset = row_index(base, ["topic", "partition"], ["timestamp", "seq"], "offset",
                             chunked=chunked)
     names = [n for n in MESSAGE_SCHEMA.fieldNames() if payload or n != "value"]
@@ -56,8 +61,14 @@ def messages_from_events(events: DataFrame, partitions: int = PARTITIONS,
 
 
 def load_messages(spark: SparkSession, sf_dir: str, chunked: bool | None = None,
-                  payload: bool = True) -> DataFrame:
-    return messages_from_events(table(spark, sf_dir, "events"), chunked=chunked, payload=payload)
+                  payload: bool = True, offsets: bool = True,
+                  topics: Sequence[str] | None = None) -> DataFrame:
+    """``topics``: read only these. Offsets are numbered per topic, so the
+    filter goes below the numbering and into the scan."""
+    events = table(spark, sf_dir, "events")
+    if topics is not None:
+        events = events.where(F.col("event_type").isin(list(topics)))
+    return messages_from_events(events, chunked=chunked, payload=payload, offsets=offsets)
 
 
 def document_payloads(documents: DataFrame) -> DataFrame:

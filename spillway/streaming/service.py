@@ -60,9 +60,13 @@ def start_relay(spark: SparkSession, options: RelayOptions, queue_path: str,
 
 
 def consumed_stream(spark: SparkSession, queue_path: str) -> DataFrame:
-    """The relay's queue table as a stream of consumed offsets (role ``formal``)."""
+    """The relay's queue table as a stream of consumed offsets (role ``formal``).
+
+    Arrival order is the batch and the position in it, not the offset: after a
+    rewind the offset that was written last counts, although it is smaller."""
     rows = spark.readStream.schema(QUEUE_SCHEMA).parquet(queue_path)
-    return rows.select("topic", "partition", "offset", F.col("offset").alias("seq"))
+    arrival = F.shiftleft(F.col("batch_id"), 32) + F.col("pos")  # positions of a batch stay far below 2^32
+    return rows.select("topic", "partition", "offset", arrival.alias("seq"))
 
 
 def start_lag(spark: SparkSession, options: RelayOptions, all_positions: DataFrame | None,

@@ -12,7 +12,7 @@ from spillway.session import scratch_path
 from spillway.sinks.lag_sink import LagTable
 from spillway.sinks import pop_log
 from spillway.sinks.queue_sink import read_queue, write_queue
-from spillway.sources.messages import FORMAL_CUT, ledger, load_messages
+from spillway.sources.messages import FORMAL_CUT, MESSAGE_SCHEMA, ledger, load_messages
 from spillway.streaming.relay import group_stream, staged_topics
 from spillway.streaming.service import consumed_stream, start_lag, start_relay
 from spillway.streaming.source import file_stream, stage_files
@@ -87,3 +87,16 @@ def test_default_gate_waits_for_pops(spark):
         assert got == msgs.count() == read_queue(spark, path).count()
     finally:
         query.stop()
+
+
+def test_last_write_wins_after_a_rewind(spark):
+    path = scratch_path(spark, "t-rewind")
+    rows = [("t", 0, 0, 9), ("t", 1, 0, 4)]  # (topic, batch, pos, offset): 9 first, then back to 4
+    write_queue(spark.createDataFrame([(t, p, "x", t, 0, o, b) for t, b, p, o in rows],
+                                      "queue string, pos bigint, payload string, topic string, partition int, offset bigint, batch_id bigint"), path)
+    newest = spark.createDataFrame([("t", 0, 10, None, "x", 10)], MESSAGE_SCHEMA)
+    positions = file_stream(spark, stage_files(newest, files=1)).select("topic", "partition", "offset", "seq")
+    table = LagTable(spark)
+    start_lag(spark, RelayOptions(topics=("t",)), positions, consumed_stream(spark, path), table,
+              scratch_path(spark, "t-state"), scratch_path(spark, "t-lag"), drain=True).awaitTermination()
+    assert [(r.topic, r.lag) for r in table.read().collect()] == [("t", 6)]
