@@ -92,11 +92,15 @@ def lag_timeline(ledger: DataFrame, tick_seconds: int = 10,
         chunked = ticks_per_key_bound(ledger, tick_seconds) > limit
     per_tick = (ledger.withColumn("tick", tick_end(F.col("timestamp"), tick_seconds))
                 .groupBy(*KEY, "tick").agg(F.max_by("offset", "seq").alias("last")))
+    if chunked:  # a chunked scan reads its input several times
+        per_tick = pin(per_tick, "tick-offsets")
     change = previous_value(per_tick, KEY, ["tick"], "last", 0, "prev", chunked=chunked) \
         .withColumn("change", F.col("last") - F.col("prev"))
     # Summed per (topic, tick) in every task first: no topic meets in one task.
     per_topic = change.groupBy("topic", "tick").agg(
         F.sum(signed_offset(F.col("role"), F.col("change"))).alias("delta"))
+    if chunked:
+        per_topic = pin(per_topic, "tick-changes")
     running = running_sum(per_topic, ["topic"], ["tick"], F.col("delta"), "running",
                           chunked=chunked)
     return running.select("topic", "tick",

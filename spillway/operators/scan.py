@@ -14,22 +14,20 @@ largest group's row count, one aggregate job):
 
 * groups no larger than ``spillway.scan.maxGroupRows``: one shuffle on the
   group keys and a window function (JVM) or a grouped pandas scan;
-* otherwise: range-partition on (group, order) keys -- balanced even when
-  one group holds a third of all rows, because the key is unique -- fold
-  each range (positions: row ids in the JVM; other steps: Arrow batches and
-  a vectorised doubling scan), pin the result in the shared folder, combine
-  the per-(range, group) totals (at most ranges + groups rows, checked before
-  broadcasting) and apply them in a broadcast join without a second shuffle.
+* otherwise: the (group, order) space is cut at split points, taken once from
+  a sample of the keys and kept as a one-row table, so a row's chunk is a
+  function of its own keys: the same in every job and every retry, with no
+  copy of the rows. The same window then runs per (group, chunk) -- one
+  shuffle, balanced even when one group holds a third of all rows -- and a
+  pass over keys and steps alone gives the chunk totals (at most chunks +
+  groups rows), joined back as a size-checked lookup.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,17 +77,58 @@ def apply_step(x: Column, d: Column, lo: Column, hi: Column) -> Column:
 
 # ---------------------------------------------------------------- size check
 
-def largest_group(df: DataFrame, group_cols: list[str]) -> int:
-    """Row count of the biggest group (partial aggregation, one number back)."""
-    row = df.groupBy(*group_cols).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
+def group_sizes(df: DataFrame, group_cols: list[str]) -> tuple[int, int]:
+    """Rows of the biggest group and of all groups (partial aggregation, two numbers back)."""
+    row = df.groupBy(*group_cols).count().agg(F.max("count").alias("m"), F.sum("count").alias("s")).first()
+    return int(row["m"] or 0), int(row["s"] or 0)
 
 
-def _use_chunks(df: DataFrame, group_cols: list[str], force: bool | None) -> bool:
-    if force is not None:
-        return force
+def _rows_to_cut(df: DataFrame, group_cols: list[str], force: bool | None) -> int | None:
+    """Row count of ``df`` where it needs chunks, else None."""
+    if force is False:
+        return None
+    largest, rows = group_sizes(df, group_cols)
     limit = conf_int(df.sparkSession, CONF_GROUP_ROWS, DEFAULT_GROUP_ROWS)
-    return largest_group(df, group_cols) > limit
+    return rows if force or largest > limit else None
+
+
+# ---------------------------------------------------------------- chunks
+
+SAMPLES_PER_CHUNK = 20
+MAX_CHUNKS = 20_000  # bounds the key sample of one task; beyond it chunks grow, and their sort spills
+
+
+def _chunk_count(spark: SparkSession, rows: int) -> int:
+    limit = conf_int(spark, CONF_GROUP_ROWS, DEFAULT_GROUP_ROWS) or DEFAULT_GROUP_ROWS
+    default = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(conf_int(spark, CONF_SCAN_CHUNKS, default), -(-rows // limit)), MAX_CHUNKS)
+
+
+def with_chunks(df: DataFrame, group_cols: list[str], order_cols: list[str], rows: int) -> DataFrame:
+    """``df`` with ``_chunk``: how many split points are at or before the row's (group, order) key."""
+    spark = df.sparkSession
+    key = F.struct(*[F.col(c) for c in [*group_cols, *order_cols]])
+    n = _chunk_count(spark, rows)
+    fraction = n * SAMPLES_PER_CHUNK / max(1, rows)
+    keys = df.select(key.alias("k"))
+    keys = keys.sample(fraction, seed=17) if fraction < 1 else keys
+    ordered = keys.agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    points = ordered.select(F.expr(f"""array_distinct(CASE WHEN size(ks) = 0 THEN ks ELSE transform(
+        sequence(1, {max(1, n - 1)}), i -> ks[cast(floor(cast(i AS bigint) * size(ks) / {max(2, n)}) AS int)]) END)""").alias("p"))
+    held = df.withColumn("_points", pin(points, "split-points").scalar()).withColumn("_key", key).withColumn("_chunk", F.lit(0))
+    for bit in reversed(range(n.bit_length())):  # a binary search, one generated projection a step
+        further = F.get(F.col("_points"), F.col("_chunk") + (1 << bit) - 1) <= F.col("_key")
+        held = held.withColumn("_chunk", F.when(further, F.col("_chunk") + (1 << bit)).otherwise(F.col("_chunk")))
+    return held.drop("_points", "_key")
+
+
+def _earlier(group_cols: list[str]):
+    """A group's earlier chunks (at most one row a chunk)."""
+    return Window.partitionBy(*group_cols).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _apply(keyed: DataFrame, totals: DataFrame, group_cols: list[str]) -> DataFrame:
+    return lookup_join(keyed, totals, ["_chunk", *group_cols], "inner", label="chunk-totals", null_safe=True)
 
 
 # ---------------------------------------------------------------- public API
@@ -100,61 +139,89 @@ def row_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
 
     ``order_cols`` must end with a unique column so the order is total.
     """
-    if not _use_chunks(df, group_cols, chunked):
+    rows = _rows_to_cut(df, group_cols, chunked)
+    if rows is None:
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumn(out, (F.row_number().over(w) - 1).cast("bigint"))
-    return _chunked_index(df, group_cols, order_cols, out)
+    keyed = with_chunks(df, group_cols, order_cols, rows)
+    counts = keyed.groupBy(*group_cols, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    bases = counts.select("_chunk", *group_cols, F.coalesce(F.sum("_n").over(_earlier(group_cols)), F.lit(0)).alias("_base"))
+    w = Window.partitionBy(*group_cols, "_chunk").orderBy(*order_cols)
+    placed = _apply(keyed.withColumn("_i", F.row_number().over(w) - 1), bases, group_cols)
+    return placed.select(*df.columns, (F.col("_base") + F.col("_i")).cast("bigint").alias(out))
 
 
 def running_sum(df: DataFrame, group_cols: list[str], order_cols: list[str],
                 value: Column, out: str, chunked: bool | None = None) -> DataFrame:
-    """Inclusive running sum of ``value`` per group."""
-    if not _use_chunks(df, group_cols, chunked):
+    """Inclusive running sum of ``value`` per group (NULL adds nothing; NULL before the first value)."""
+    rows = _rows_to_cut(df, group_cols, chunked)
+    if rows is None:
         w = (Window.partitionBy(*group_cols).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.withColumn(out, F.sum(value.cast("bigint")).over(w).cast("bigint"))
-    return _chunked_scan(df, group_cols, order_cols, value, F.lit(-BIG), F.lit(BIG), 0, out)
+    keyed = with_chunks(df.withColumn("_d", value.cast("bigint")), group_cols, order_cols, rows)
+    totals = keyed.groupBy(*group_cols, "_chunk").agg(F.sum("_d").alias("_t"))
+    bases = totals.select("_chunk", *group_cols, F.sum("_t").over(_earlier(group_cols)).alias("_base"))
+    w = (Window.partitionBy(*group_cols, "_chunk").orderBy(*order_cols)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    summed = _apply(keyed.withColumn("_s", F.sum("_d").over(w)), bases, group_cols)
+    total = F.when(F.col("_base").isNull(), F.col("_s")).otherwise(F.col("_base") + F.coalesce("_s", F.lit(0)))
+    return summed.select(*df.columns, total.cast("bigint").alias(out))
 
 
 def clamp_scan(df: DataFrame, group_cols: list[str], order_cols: list[str],
                d: Column, lo: Column, hi: Column, out: str, init: int = 0,
                chunked: bool | None = None) -> DataFrame:
     """Running value ``x_i = min(hi_i, max(lo_i, x_{i-1} + d_i))``, ``x_0 = init``."""
-    if not _use_chunks(df, group_cols, chunked):
+    rows = _rows_to_cut(df, group_cols, chunked)
+    if rows is None:
         return _grouped_scan(df, group_cols, order_cols, d, lo, hi, init, out)
-    return _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out)
+    return _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out, rows)
 
 
 def floored_sum(df: DataFrame, group_cols: list[str], order_cols: list[str], d: Column,
                 out: str, chunked: bool | None = None) -> DataFrame:
     """Running ``x_i = max(0, x_{i-1} + d_i)`` from 0 (a depth that cannot go
-    below zero). Per-group plan in closed form with two windows (JVM):
+    below zero; a NULL step is 0). In closed form, all in the JVM:
     ``x = S - min(0, min(S so far))`` with ``S`` the running sum."""
-    if _use_chunks(df, group_cols, chunked):
-        return _chunked_scan(df, group_cols, order_cols, d, F.lit(0), F.lit(BIG), 0, out)
-    w = (Window.partitionBy(*group_cols).orderBy(*order_cols)
+    steps = df.withColumn("_d", F.coalesce(d.cast("bigint"), F.lit(0).cast("bigint")))
+    rows = _rows_to_cut(df, group_cols, chunked)
+    chunks = rows is not None
+    keyed = with_chunks(steps, group_cols, order_cols, rows) if chunks else steps
+    w = (Window.partitionBy(*group_cols, *(["_chunk"] if chunks else [])).orderBy(*order_cols)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = df.withColumn("_s", F.sum(d.cast("bigint")).over(w))
-    return (running.withColumn(out, (F.col("_s") - F.least(F.lit(0), F.min("_s").over(w)))
-                               .cast("bigint")).drop("_s"))
+    running = keyed.withColumn("_s", F.sum("_d").over(w)).withColumn("_m", F.min("_s").over(w))
+    if not chunks:
+        return running.select(*df.columns, (F.col("_s") - F.least(F.lit(0), F.col("_m"))).cast("bigint").alias(out))
+    # keys and steps only: a chunk's sum and its lowest running sum
+    totals = (keyed.withColumn("_s", F.sum("_d").over(w)).groupBy(*group_cols, "_chunk")
+              .agg(F.sum("_d").alias("_t"), F.min("_s").alias("_low")))
+    earlier = _earlier(group_cols)
+    bases = totals.withColumn("_base", F.coalesce(F.sum("_t").over(earlier), F.lit(0)))
+    bases = bases.withColumn("_floor", F.least(F.lit(0), F.min(F.col("_base") + F.col("_low")).over(earlier)))
+    applied = _apply(running, bases.select("_chunk", *group_cols, "_base", "_floor"), group_cols)
+    depth = F.col("_base") + F.col("_s") - F.least(F.col("_floor"), F.col("_base") + F.col("_m"))
+    return applied.select(*df.columns, depth.cast("bigint").alias(out))
 
 
 def previous_value(df: DataFrame, group_cols: list[str], order_cols: list[str], col: str,
                    default, out: str, chunked: bool | None = None) -> DataFrame:
     """``col`` of the previous row of the same group (``default`` for a
-    group's first row). Per-group plan: ``lag``. Large groups: dense positions
-    (range-chunked) and a null-safe equi-join of each row with position - 1,
-    a join on unique keys, so it stays balanced however large a group is."""
-    if not _use_chunks(df, group_cols, chunked):
+    group's first row). Per-group plan: ``lag``. Large groups: ``lag`` inside
+    each chunk; a chunk's first row takes the last value of the chunk before it."""
+    rows = _rows_to_cut(df, group_cols, chunked)
+    if rows is None:
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
         return df.withColumn(out, F.lag(col, 1, default).over(w))
-    indexed = row_index(df, group_cols, order_cols, "_i", chunked=True)
-    cur, prev = indexed.alias("_cur"), indexed.alias("_prev")
-    cond = reduce(and_, [F.col(f"_cur.{c}").eqNullSafe(F.col(f"_prev.{c}")) for c in group_cols]
-                  + [F.col("_cur._i") == F.col("_prev._i") + 1])
-    joined = cur.join(prev, cond, "left")
-    value = F.when(F.col("_prev._i").isNull(), F.lit(default)).otherwise(F.col(f"_prev.{col}"))
-    return joined.select(*[F.col(f"_cur.{c}") for c in df.columns], value.alias(out))
+    keyed = with_chunks(df, group_cols, order_cols, rows)
+    last = F.max_by(F.struct(F.col(col).alias("v")), F.struct(*order_cols)).alias("_last")
+    lasts = keyed.groupBy(*group_cols, "_chunk").agg(last)
+    before = lasts.select("_chunk", *group_cols, F.lag("_last").over(Window.partitionBy(*group_cols).orderBy("_chunk")).alias("_before"))
+    w = Window.partitionBy(*group_cols, "_chunk").orderBy(*order_cols)
+    near = _apply(keyed.withColumn("_near", F.lag(F.struct(F.col(col).alias("v"))).over(w)), before, group_cols)
+    value = (F.when(F.col("_near").isNotNull(), F.col("_near.v"))
+             .when(F.col("_before").isNotNull(), F.col("_before.v")).otherwise(F.lit(default)))
+    return near.select(*df.columns, value.alias(out))
 
 
 # ---------------------------------------------------------------- small groups
@@ -181,80 +248,22 @@ def _grouped_scan(df, group_cols, order_cols, d, lo, hi, init, out):
 
 # ---------------------------------------------------------------- large groups
 
-def _chunked_index(df, group_cols, order_cols, out):
-    """Dense positions for huge groups, all in the JVM. After the range sort,
-    ``monotonically_increasing_id`` is consecutive inside each range, so a
-    position is (rows of the group in earlier ranges) + (id - first id of the
-    group in this range). The ids are frozen by pinning; the per-(range,
-    group) counts are at most ranges + groups rows."""
-    spark = df.sparkSession
-    n = conf_int(spark, CONF_SCAN_CHUNKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keys = [*group_cols, *order_cols]
-    names = df.columns
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_chunk", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    local = pin(ranged, "index")
-    counts = local.groupBy("_chunk", *group_cols).agg(F.min("_mid").alias("_first"),
-                                                      F.count(F.lit(1)).alias("_n"))
-    earlier = (Window.partitionBy(*group_cols).orderBy("_chunk")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    bases = counts.select("_chunk", *group_cols, "_first",
-                          F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    joined = lookup_join(local, bases, ["_chunk", *group_cols], "inner", label="index-bases",
-                         null_safe=True)
-    position = F.col("_base") + F.col("_mid") - F.col("_first")
-    return joined.select(*[F.col(c) for c in names], position.cast("bigint").alias(out))
-
-
-def _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out):
-    spark = df.sparkSession
-    n = conf_int(spark, CONF_SCAN_CHUNKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keys = [*group_cols, *order_cols]
+def _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out, rows):
+    """General clamp steps per (group, chunk), in Arrow batches: a task holds one batch and the open chunk's step."""
     names = df.columns
-    ranged = (
-        df.withColumn("_d", F.coalesce(d.cast("bigint"), F.lit(0))).withColumn("_lo", lo.cast("bigint"))
-        .withColumn("_hi", hi.cast("bigint"))
-        .withColumn("_g", F.to_json(F.struct(*[F.col(c) for c in group_cols])))
-        .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-        .withColumn("_chunk", F.spark_partition_id())
-    )
-    extra = [T.StructField(c, T.LongType()) for c in ("_pos", "_pd", "_plo", "_phi")]
-    kept = [f for f in ranged.schema.fields if f.name not in ("_d", "_lo", "_hi")]
-    schema = T.StructType(kept + extra)
-    kept_names = [f.name for f in kept]
-
-    def local_fold(batches):
-        carry_g, carry, pos = None, None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            g = pdf["_g"].to_numpy()
-            seg = np.cumsum(np.r_[True, g[1:] != g[:-1]])
-            pd_, plo, phi = compose_prefix(seg, pdf["_d"].to_numpy(), pdf["_lo"].to_numpy(),
-                                           pdf["_hi"].to_numpy())
-            if carry_g is not None and g[0] == carry_g:
-                first = seg == seg[0]
-                cd, clo, chi = _then(carry, (pd_[first], plo[first], phi[first]))
-                pd_[first], plo[first], phi[first] = cd, clo, chi
-            carry_g, carry = g[-1], (pd_[-1], plo[-1], phi[-1])
-            out_pdf = pdf[kept_names].assign(_pos=np.arange(pos, pos + len(pdf), dtype=np.int64),
-                                             _pd=pd_, _plo=plo, _phi=phi)
-            pos += len(pdf)
-            yield out_pdf
-
-    # Pin: chunk ids and local folds are tied to physical placement.
-    local = pin(ranged.mapInPandas(local_fold, schema), "scan")
-
-    totals = (local.groupBy("_chunk", *group_cols)
-              .agg(F.max_by(F.struct("_pd", "_plo", "_phi"), "_pos").alias("t"))
+    steps = (df.withColumn("_d", F.coalesce(d.cast("bigint"), F.lit(0))).withColumn("_lo", lo.cast("bigint"))
+             .withColumn("_hi", hi.cast("bigint")))
+    keyed = (with_chunks(steps, group_cols, order_cols, rows)
+             .withColumn("_g", F.to_json(F.struct("_chunk", *[F.col(c) for c in group_cols]))))
+    totals = (_fold_chunks(keyed.select("_g", "_chunk", "_d", "_lo", "_hi", *dict.fromkeys([*group_cols, *order_cols])), group_cols, order_cols)
+              .groupBy("_chunk", *group_cols).agg(F.max_by(F.struct("_pd", "_plo", "_phi"), "_pos").alias("t"))
               .select("_chunk", *group_cols, "t._pd", "t._plo", "t._phi"))
     before_schema = T.StructType(
         [f for f in totals.schema.fields if f.name not in ("_pd", "_plo", "_phi")]
         + [T.StructField(c, T.LongType()) for c in ("_bd", "_blo", "_bhi")])
 
     def exclusive(pdf: pd.DataFrame) -> pd.DataFrame:
-        # One group's chunk totals: at most `n` rows.
+        # One group's chunk totals: at most one row a chunk.
         pdf = pdf.sort_values("_chunk")
         seg = np.zeros(len(pdf), dtype=np.int64)
         cd, clo, chi = compose_prefix(seg, pdf["_pd"].to_numpy(), pdf["_plo"].to_numpy(),
@@ -266,8 +275,36 @@ def _chunked_scan(df, group_cols, order_cols, d, lo, hi, init, out):
         return res
 
     before = totals.groupBy(*group_cols).applyInPandas(exclusive, before_schema)
-    joined = lookup_join(local, before, ["_chunk", *group_cols], "inner", label="scan-totals",
-                         null_safe=True)
+    joined = _apply(_fold_chunks(keyed, group_cols, order_cols), before, group_cols)
     x0 = apply_step(F.lit(init).cast("bigint"), F.col("_bd"), F.col("_blo"), F.col("_bhi"))
     value = apply_step(x0, F.col("_pd"), F.col("_plo"), F.col("_phi"))
-    return joined.select(*[F.col(c) for c in names], value.cast("bigint").alias(out))
+    return joined.select(*names, value.cast("bigint").alias(out))
+
+
+def _fold_chunks(keyed, group_cols, order_cols):
+    """``keyed`` with each row's step composed with the earlier ones of its (group, chunk)."""
+    placed = (keyed.repartition(*[F.col(c) for c in [*group_cols, "_chunk"]])
+              .sortWithinPartitions("_chunk", *group_cols, *order_cols))
+    kept = [f for f in placed.schema.fields if f.name not in ("_d", "_lo", "_hi", "_g")]
+    kept_names = [f.name for f in kept]
+    schema = T.StructType(kept + [T.StructField(c, T.LongType()) for c in ("_pos", "_pd", "_plo", "_phi")])
+
+    def local_fold(batches):
+        carry_g, carry, pos = None, None, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            g = pdf["_g"].to_numpy()
+            seg = np.cumsum(np.r_[True, g[1:] != g[:-1]])
+            pd_, plo, phi = compose_prefix(seg, pdf["_d"].to_numpy(), pdf["_lo"].to_numpy(),
+                                           pdf["_hi"].to_numpy())
+            if carry_g is not None and g[0] == carry_g:
+                first = seg == seg[0]
+                cd, clo, chi = _then(carry, (pd_[first], plo[first], phi[first]))
+                pd_[first], plo[first], phi[first] = cd, clo, chi
+            carry_g, carry = g[-1], (pd_[-1], plo[-1], phi[-1])
+            yield pdf[kept_names].assign(_pos=np.arange(pos, pos + len(pdf), dtype=np.int64),
+                                         _pd=pd_, _plo=plo, _phi=phi)
+            pos += len(pdf)
+
+    return placed.mapInPandas(local_fold, schema)

@@ -222,7 +222,7 @@ def queue_position(spark, sf):
 
 
 def queue_depth_timeline(spark, sf):
-    return q.depth_timeline(q.queue_ops(_offsets(spark, sf), prefix=OPTIONS.prefix_redis))
+    return q.depth_timeline(q.queue_ops(_arrivals(spark, sf), prefix=OPTIONS.prefix_redis))
 
 
 def gate_state_q(spark, sf):

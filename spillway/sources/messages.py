@@ -41,8 +41,8 @@ def messages_from_events(events: DataFrame, partitions: int = PARTITIONS,
     offset = position in (ts, event_id) order within (topic, partition).
 
     ``payload=False`` leaves the value out (offset-only readers: ledgers, lag,
-    gates). The window plan would prune it anyway, but the skew-safe plan
-    pins its input eagerly, so the projection has to be explicit.
+    gates). The optimiser would prune it too; the projection says so
+    explicitly.
     ``offsets=False`` skips the numbering for readers that only count or name."""
     cols = [
         F.col("event_type").alias("topic"),
