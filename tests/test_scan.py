@@ -125,3 +125,14 @@ def test_plans_agree_on_null_steps_and_null_order(spark):
         finally:
             spark.conf.unset(CONF_GROUP_ROWS)
     assert results[0] == results[1] == [(0, 5), (1, 5), (2, 12), (3, 0), (4, 1)]
+
+
+def test_chunked_scans_of_an_empty_table_and_of_tied_groups(spark):
+    from spillway.operators.scan import floored_sum
+
+    empty = spark.createDataFrame([], "g string, o bigint, v bigint")
+    assert row_index(empty, ["g"], ["o"], "x", chunked=True).count() == 0
+    assert floored_sum(empty, ["g"], ["o"], F.col("v"), "x", chunked=True).count() == 0
+    one = spark.createDataFrame([("a", 1, None), ("a", 2, 4)], "g string, o bigint, v bigint")
+    sums = running_sum(one, ["g"], ["o"], F.col("v"), "x", chunked=True)
+    assert sorted((r.o, r.x) for r in sums.collect()) == [(1, None), (2, 4)]
