@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .secret_ledger import PEM_BEGIN, PEM_END
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -31,15 +33,17 @@ def failing_line(line: Column) -> Column:
     punctuation: at least 6 marks (no letter, digit or space) that make up over 15 % of the
     line's characters; navigation: at least 3 separators ``|``, ``»``, ``•``, ``·`` and one for
     each 4 words or fewer; boilerplate: under 30 words with a listed phrase; run-on: 40 or
-    more words without any ``.``, ``!``, ``?``, ``;`` or ``:``.
+    more words without any ``.``, ``!``, ``?``, ``;`` or ``:``. The header and END lines of a private
+    key stay, for the secret scan to find the key between them.
     """
     chars = F.length(F.regexp_replace(line, SPACE, ""))
     marks = F.length(F.regexp_replace(line, r"[\p{L}\p{M}\p{N}\s]+", ""))
     words = F.size(F.split(F.trim(F.regexp_replace(line, SPACE, " ")), " "))
     bars = F.length(F.regexp_replace(line, "[^|»•·]+", ""))
     phrase = F.lower(line).rlike("|".join(BOILERPLATE))
-    return ((marks >= 6) & (marks * 100 > chars * 15)) | ((bars >= 3) & (bars * 4 >= words)) | \
+    failing = ((marks >= 6) & (marks * 100 > chars * 15)) | ((bars >= 3) & (bars * 4 >= words)) | \
         (phrase & (words < 30)) | (~line.rlike("[.!?;:。！？]") & (words >= 40))
+    return failing & ~line.rlike(f"{PEM_BEGIN}|{PEM_END}")
 
 
 def judge(docs: DataFrame, text_col: str = "text", max_lost: float = MAX_LOST) -> DataFrame:

@@ -34,14 +34,24 @@ class Rule:
 # The base rules and two more of this scan.
 KEYWORD = ("([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
            "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])")
+# A private key from its header to its END line. Where that is missing: the header, header fields, the run of base64
+# pieces (line breaks may be escaped) and a last short piece that is padded or alone on its line.
+# Loops are possessive, so long keys need no stack and a text is read once.
+PEM_BEGIN = "-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+PEM_END = "-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+_GAP = r"""(?:[\s"'+,>]|\\[nr])*+"""
+PEM = (PEM_BEGIN + "(?:(?:[^-]++|-(?!----))*+" + PEM_END
+       + r"|(?:\s*+(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset): ?[^\n]*+)*+"
+       + "(?:(?:" + _GAP + "[A-Za-z0-9+/]{16,}+={0,2})++"
+       + "(?:" + _GAP + r"[A-Za-z0-9+/]{1,15}+={1,2}|[\x20\t\r]*+\n[\x20\t]*+[A-Za-z0-9+/]{1,15}+(?=[\x20\t\r]*+(?:\n|\z)))?)?)")
 RULES = (
     Rule("assign", KEYWORD + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", "AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", "[0-9a-f]{24,}", 0, 24),  # a run of 24 or more starts where its [0-9a-f]+ match does
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, base=False),
+    Rule("private_key", PEM, 0, 1, base=False),
     Rule("vendor_token", "(?:gh[pousr]_|xox[abprs]-|glpat-)[A-Za-z0-9_-]{20,}", 0, 20, base=False),
 )
-RULE_VERSION = "1"
+RULE_VERSION = "1.1"
 
 
 def _kind_spans(text: Column, kind: int, rule: Rule) -> Column:

@@ -71,6 +71,36 @@ def test_masking_merges_overlaps_and_keeps_rows(spark, documents):
     assert out == sorted([(1, "a [REDACTED] b", 14), (2, None, None), (3, "clean", 5), (3, "clean", 5), (4, "[REDACTED]", 10)], key=str)
 
 
+def pem_body(lines, seed=11):
+    rng = random.Random(seed)
+    raw = base64.b64encode(rng.randbytes(lines * 48 + 20)).decode()
+    return [raw[a:a + 64] for a in range(0, len(raw), 64)]
+
+
+def test_private_keys_are_masked_whole(spark, documents):
+    body = pem_body(25)
+    block = "\n".join(["-----BEGIN RSA PRIVATE KEY-----", *body, "-----END RSA PRIVATE KEY-----"])
+    sealed = block.replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n", 1)
+    cut = block[:block.index("-----END")]
+    written = block.replace("\n", "\\n")
+    long = "\n".join(["-----BEGIN PRIVATE KEY-----", *pem_body(40_000), "-----END PRIVATE KEY-----"])
+    texts = [f"a\n{block}\nb", f"a\n{sealed}\nb", f"a\n{cut}some words after it.", f'{{"k": "{written}"}}', f"{block}\n{block}", f"a\n{long}\nb",
+             "a -----BEGIN PRIVATE KEY----- heads the file", f"a {' '.join(cut.split())}", "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: X 1\n\n" + "\n".join(body)]
+    out = {r.doc_id: r.text for r in secret_ledger.mask_secrets(documents(list(enumerate(texts)))).collect()}
+    assert out == {0: "a\n[REDACTED]\nb", 1: "a\n[REDACTED]\nb", 2: "a\n[REDACTED]\nsome words after it.", 3: '{"k": "[REDACTED]"}',
+                   4: "[REDACTED]\n[REDACTED]", 5: "a\n[REDACTED]\nb", 6: "a [REDACTED] heads the file", 7: "a [REDACTED]", 8: "[REDACTED]"}
+
+
+def test_pipeline_stages_leave_no_private_key(spark, documents):
+    rng = random.Random(12)
+    prose = " ".join(f"word{rng.randint(0, 10_000)}" for _ in range(300)) + "."
+    body = pem_body(12)
+    block = "\n".join(["-----BEGIN PRIVATE KEY-----", *body, "-----END PRIVATE KEY-----"])
+    kept = line_rules.keep_clean(documents([(1, f"{prose}\n{block}\nhome | news | sport | more\n{prose[::-1]}.")]))
+    text = secret_ledger.mask_secrets(kept).first().text
+    assert text == f"{prose}\n[REDACTED]\n{prose[::-1]}."
+
+
 # --- 2: decontamination --------------------------------------------------------------------
 
 def brute_distance(pattern, text):
