@@ -29,7 +29,7 @@ from .common import held_out
 from .ri_quality import Constant, _sigmoid, labelled_sample
 
 LAMBDA, GAP = 0.75, 5  # weight of a letter of span; letters that a triple spans at most, less one
-LETTERS = 28  # padding, a to z, any other letter
+LETTERS = 27  # padding, a to z: their triples have a weight each; triples with other letters are listed as they are met
 WINDOW, STEP = 24, 12  # longer tokens are read in overlapping windows
 LANDMARKS, POSITIVES, NEGATIVES, ROUNDS = 256, 1200, 6000, 3
 MAX_DOCS = 6000  # labelled documents of each kind used for training, by hash order
@@ -40,12 +40,16 @@ _PAIRS = [(a, b) for b in range(2, GAP + 1) for a in range(1, b)]
 _OTHER = re.compile(r"[^a-z]").search
 
 
+def _sign(c: str) -> bool:
+    """TRUE for a vowel sign that is written as a mark beside its letter (Indic scripts, Thai), no accent."""
+    return "\u0900" <= c < "\u2000" and unicodedata.category(c)[0] == "M" and not unicodedata.combining(c)
+
+
 def letters(word: str) -> str:
-    """Letters of a token, in lower case and without accents; ``{`` for a letter outside a to z."""
+    """Letters of a token, of any script, in lower case and without accents."""
     word = word.lower()
     if _OTHER(word):
-        plain = (c for c in unicodedata.normalize("NFD", word) if c.isalpha())
-        word = "".join(c if "a" <= c <= "z" else "{" for c in plain)
+        word = "".join(c for c in unicodedata.normalize("NFD", word) if c.isalpha() or _sign(c))
     return word
 
 
@@ -66,14 +70,17 @@ def tokens(text: str) -> list[str]:
 
 
 def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, WINDOW) letter codes and the word of each row. Words are folded by letters() already."""
+    """(rows, WINDOW) letter codes and the word of each row. Words are folded by letters() already.
+
+    Codes: 0 padding, 1 to 26 a to z, above that one for each other letter (its code point less 96).
+    """
     rows, owner = [], []
     for n, w in enumerate(words):
         for a in range(0, max(1, len(w) - STEP), STEP) if len(w) > WINDOW else (0,):
             rows.append(w[a:a + WINDOW])
             owner.append(n)
-    flat = "".join(r.ljust(WINDOW, "`") for r in rows).encode()
-    return (np.frombuffer(flat, np.uint8).reshape(-1, WINDOW) - 96).astype(np.int32), np.array(owner, np.int64)
+    flat = "".join(r.ljust(WINDOW, "`") for r in rows).encode("utf-32-le")
+    return np.frombuffer(flat, "<i4").reshape(-1, WINDOW) - np.int32(96), np.array(owner, np.int64)
 
 
 def _norms() -> np.ndarray:
@@ -87,45 +94,82 @@ def _norms() -> np.ndarray:
 NORMS = _norms()
 
 
-def triples(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(triple numbers, weights) of each gap pattern, for all rows; absent triples weigh 0."""
+NONE = np.zeros(0, np.int64)
+
+
+def _keys(codes: np.ndarray, a: int, b: int) -> np.ndarray:
+    """A number for each triple of one gap pattern, exact for letters of all scripts (21 bits a letter)."""
+    wide = codes.astype(np.int64)
+    return (wide[:, :-b] << 42) | (wide[:, a:codes.shape[1] - b + a] << 21) | wide[:, b:]
+
+
+def triples(codes: np.ndarray, others: np.ndarray = NONE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(triple numbers, weights) of each gap pattern, for all rows; absent triples weigh 0.
+
+    Triples of a to z have numbers under LETTERS^3; one with another letter is numbered after them by its place
+    in ``others`` (sorted keys) and weighs 0 where it is not listed.
+    """
+    latin = codes.max(initial=0) < LETTERS
     for a, b in _PAIRS:
         if b >= codes.shape[1]:
             continue
-        last = codes[:, b:]
-        number = (codes[:, :-b] * LETTERS + codes[:, a:codes.shape[1] - b + a]) * LETTERS + last
-        yield number, np.where(last > 0, LAMBDA ** (b + 1), 0.0)
+        first, middle, last = codes[:, :-b], codes[:, a:codes.shape[1] - b + a], codes[:, b:]
+        weight = np.where(last > 0, LAMBDA ** (b + 1), 0.0)
+        if latin:
+            yield (first * LETTERS + middle) * LETTERS + last, weight
+            continue
+        plain = np.maximum(np.maximum(first, middle), last) < LETTERS
+        number = np.where(plain, (first * LETTERS + middle) * LETTERS + last, 0)
+        if len(others):
+            keys = _keys(codes, a, b)
+            place = np.minimum(np.searchsorted(others, keys), len(others) - 1)
+            listed = ~plain & (others[place] == keys)
+            number = np.where(listed, LETTERS ** 3 + place, number)
+            plain = plain | listed
+        yield number, np.where(plain, weight, 0.0)
+
+
+def other_triples(codes: np.ndarray) -> np.ndarray:
+    """Sorted keys of the rows' triples with a letter outside a to z."""
+    rows = codes[codes.max(1, initial=0) >= LETTERS]
+    got = [NONE]
+    for a, b in _PAIRS:
+        first, middle, last = rows[:, :-b], rows[:, a:rows.shape[1] - b + a], rows[:, b:]
+        got.append(_keys(rows, a, b)[(last > 0) & (np.maximum(np.maximum(first, middle), last) >= LETTERS)])
+    return np.unique(np.concatenate(got))
 
 
-def features(codes: np.ndarray) -> np.ndarray:
-    """(rows, LETTERS^3): the explicit kernel map, normed. For landmarks and training samples only."""
-    out = np.zeros((len(codes), LETTERS ** 3), np.float32)
+def features(codes: np.ndarray, others: np.ndarray = NONE) -> np.ndarray:
+    """(rows, LETTERS^3 + others): the explicit kernel map, normed. For landmarks and training samples only."""
+    out = np.zeros((len(codes), LETTERS ** 3 + len(others)), np.float32)
     row = np.arange(len(codes))[:, None]
-    for number, weight in triples(codes):
+    for number, weight in triples(codes, others):
         np.add.at(out, (np.broadcast_to(row, number.shape), number), weight)
     return out / NORMS[(codes > 0).sum(1)][:, None]
 
 
 class Machine:
-    """Triple weights, bias and calibration."""
+    """Triple weights (of a to z, then of the ``others`` listed), bias and calibration."""
 
-    def __init__(self, weights: np.ndarray, bias: float, scale: tuple[float, float] = (4.0, 0.0)):
-        self.weights, self.bias, self.scale = weights.astype(np.float32), bias, scale
+    def __init__(self, weights: np.ndarray, bias: float, scale: tuple[float, float] = (4.0, 0.0), others: np.ndarray = NONE):
+        self.weights, self.bias, self.scale, self.others = weights.astype(np.float32), bias, scale, others
 
     def token_scores(self, words: list[str]) -> np.ndarray:
         """Margin of each folded token; a longer one has its best window's."""
         if not words:
             return np.zeros(0)
         size = np.array([len(w) for w in words])
+        latin = np.array([w.isascii() for w in words])
         out = np.zeros(len(words))
-        for low, high in ((0, 8), (8, 12), (12, 1 << 60)):  # short tokens in narrow tables
-            pick = np.flatnonzero((size > low) & (size <= high) | (size == 0) * (low == 0))
+        # short tokens in narrow tables; those with other letters apart, as they need a search for each triple
+        for low, high, own in ((low, high, own) for low, high in ((0, 8), (8, 12), (12, 1 << 60)) for own in (latin, ~latin)):
+            pick = np.flatnonzero(own & ((size > low) & (size <= high) | (size == 0) * (low == 0)))
             for at in range(0, len(pick), 1 << 14):
                 part = pick[at:at + (1 << 14)]
                 codes, owner = encode([words[i] for i in part])
                 codes = codes[:, :min(WINDOW, high)]
                 total = np.zeros(len(codes))
-                for number, weight in triples(codes):
+                for number, weight in triples(codes, self.others):
                     total += (self.weights[number] * weight).sum(1)
                 total /= NORMS[(codes > 0).sum(1)]
                 best = np.full(len(part), -np.inf)
@@ -201,7 +245,9 @@ def train(bags: list[tuple[int, list[str]]], seed: int = 9):
     positive = _witnesses(ranked, [b for y, b in bags if y])[:POSITIVES] or sorted(in_toxic, key=lambda w: (-odds(w), w))[:10]
     half = LANDMARKS // 2
     marks = [*positive[:half], *(w for w in negative[::max(1, len(negative) // (LANDMARKS - half))][:LANDMARKS - half] if w not in set(positive[:half]))]
-    phi = features(np.concatenate([encode([w[:WINDOW]])[0] for w in marks]))
+    mark_codes = np.concatenate([encode([w[:WINDOW]])[0] for w in marks])
+    others = other_triples(mark_codes)  # a triple that no landmark holds adds nothing to the kernel
+    phi = features(mark_codes, others)
     values, vectors = np.linalg.eigh((phi @ phi.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])  # K(L, L)^-1/2, without its null space
@@ -210,7 +256,7 @@ def train(bags: list[tuple[int, list[str]]], seed: int = 9):
         out = []
         for at in range(0, len(words), 500):
             codes = np.concatenate([encode([w[:WINDOW]])[0] for w in words[at:at + 500]])
-            out.append(features(codes) @ phi.T)
+            out.append(features(codes, others) @ phi.T)
         return np.concatenate(out).astype(np.float64) @ whiten if out else np.zeros((0, whiten.shape[1]))
 
     machine = None
@@ -225,7 +271,7 @@ def train(bags: list[tuple[int, list[str]]], seed: int = 9):
         support[:n] *= 0.5 / max(1, support[:n].sum())
         support[n:] = 0.5 / max(1, len(negatives))
         w, bias = svm(x, y, support * len(y) / 10)
-        machine = Machine((whiten @ w) @ phi, bias)
+        machine = Machine((whiten @ w) @ phi, bias, others=others)
         vocabulary = sorted({*in_toxic, *in_clean})
         margin = dict(zip(vocabulary, machine.token_scores(vocabulary)))
         tops = [max((margin[t] for t in b), default=-1.0) for _, b in bags]

@@ -100,6 +100,41 @@ def test_gapped_insults_score_like_plain_ones():
     assert (scorer.best(["the there only", "", "an on es"]) < 0).all()
 
 
+@pytest.mark.parametrize("parts, insults", [
+    (["то", "на", "ре", "ко", "ли", "ен", "ва", "но"], ["дурак", "идиот", "ублюдок"]),
+    (["τα", "και", "νο", "ρε", "στη", "μα", "πο"], ["ηλίθιος", "βλάκας", "μαλάκας"]),
+    (["ال", "من", "في", "ون", "ات", "ها", "لم"], ["أحمق", "غبي", "حقير"]),
+    (["का", "में", "ने", "से", "रा", "हो", "ली"], ["बेवकूफ", "कमीना", "मूर्ख"]),
+])
+def test_insults_of_other_scripts_are_learned(parts, insults):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice(parts) for _ in range(rng.randint(1, 4)))
+    raw = [(0, [word() for _ in range(60)]) for _ in range(200)]
+    raw += [(1, [word() for _ in range(60)] + [rng.choice(insults)]) for _ in range(60)]
+    bags = [(y, [ssk_toxicity.letters(w) for w in b]) for y, b in raw]
+    scorer = ssk_toxicity.Scorer(ssk_toxicity.train(bags))
+    clean = [" ".join(word() for _ in range(30)) for _ in range(40)]
+    assert (scorer.best([f"{c} {w}, {c}" for c, w in zip(clean, insults)]) > 0).all()
+    assert (scorer.best([f"{clean[0]} {w[:1]}.{w[1:]}" for w in insults]) > 0).all()
+    assert (scorer.best(clean) > 0).mean() < 0.1
+
+
+def test_letters_of_all_scripts_stay_distinct():
+    words = ["дурак", "добро", "βλάκας", "ζώδιον", "中文字符", "日本語文"]
+    folded = [ssk_toxicity.letters(w) for w in words]
+    assert len(set(folded)) == len(words)
+    codes, _ = ssk_toxicity.encode(folded)
+    phi = ssk_toxicity.features(codes, ssk_toxicity.other_triples(codes))
+    for i, x in enumerate(folded):
+        for j, y in enumerate(folded):
+            want = 0.0
+            for a, b in ssk_toxicity._PAIRS:
+                for p, q in ssk_toxicity._PAIRS:
+                    want += sum(ssk_toxicity.LAMBDA ** (b + q + 2) for s in range(len(x) - b) for t in range(len(y) - q)
+                                if (x[s], x[s + a], x[s + b]) == (y[t], y[t + p], y[t + q]))
+            assert phi[i] @ phi[j] == pytest.approx(want / (ssk_toxicity.NORMS[len(x)] * ssk_toxicity.NORMS[len(y)]), rel=1e-4, abs=1e-6)
+
+
 def test_folded_weights_equal_the_landmark_kernel():
     words = ["idiot", "idxiot", "there", "an", "a", "disgusting"]
     codes, _ = ssk_toxicity.encode(words)
