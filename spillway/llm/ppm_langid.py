@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import held_out
 
 ORDER = 3
-MAX_DOCS = 400  # training documents of a language at most (whole texts, by hash order) ...
-MAX_BYTES = 1_500_000  # ... and their characters together
+MAX_DOCS = 400  # training documents of a language at most (by hash order) ...
+MAX_BYTES = 1_500_000  # ... and their characters together; where they have more, the longest give an equal share each
 CHUNK = 1 << 18  # bytes scored at once
 PAD = b"\0" * ORDER
 
@@ -148,8 +148,9 @@ class Model:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           fold: tuple[int, int] = (3, 1), max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Model:
-    """Model of a bounded sample: for each language, whole texts in the order of their hash, up to
-    ``max_docs`` documents and ``max_bytes`` characters, none of them in the held-out fold."""
+    """Model of a bounded sample: for each language, up to ``max_docs`` documents in the order of their hash, none of
+    them in the held-out fold. Their texts are taken whole if they fit into ``max_bytes`` characters; else the
+    longest are read up to the length at which all fit, so no text pushes another out or exceeds the bound."""
     part, out = fold
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
                       & ~held_out(F.col(id_col), part, out))
@@ -158,9 +159,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sizes = rows.select("i", "l", F.length("t").alias("size")).withColumn("r", F.row_number().over(order))
     # window with a row limit: every task keeps its first max_docs rows of a language, so no language meets in one task
     sizes = sizes.where(F.col("r") <= max_docs)
-    upto = F.sum("size").over(Window.partitionBy("l").orderBy("r"))
-    chosen = sizes.withColumn("upto", upto).where((F.col("upto") <= max_bytes) | (F.col("r") == 1)).select("i", "l")
+    # by size: what the shorter texts leave, in equal parts for the others; the largest such part is the length at which all fit
+    whole, by_size = Window.partitionBy("l"), Window.partitionBy("l").orderBy("size", "r")
+    left = max_bytes - (F.sum("size").over(by_size) - F.col("size"))
+    share = F.floor(left / (F.count("size").over(whole) - F.row_number().over(by_size) + 1))
+    chosen = sizes.withColumn("share", share).select("i", "l", F.greatest(F.max("share").over(whole), F.lit(1)).cast("int").alias("upto"))
     texts = rows.join(F.broadcast(chosen.distinct()), ["i", "l"])  # max_docs ids a language
+    texts = texts.select("l", F.left("t", F.col("upto")).alias("t"))
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         keys, counts = count_codes(pdf["t"].tolist())

@@ -64,6 +64,26 @@ def test_language_id(spark, documents):
     assert ppm_langid.predict(documents([(1, "abc")]), ppm_langid.train(empty)).first().lang_pred == "und"
 
 
+@pytest.mark.parametrize("place", [0, 1, 18])
+def test_a_long_text_pushes_no_other_out_of_the_language_sample(spark, place):
+    rng = random.Random(5)
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1][:30]
+    order = [r.i for r in spark.createDataFrame([(i,) for i in ids], "i bigint").orderBy(F.xxhash64("i")).collect()]
+    text = {i: "".join(rng.choice("abc ") for _ in range(50)) for i in ids}
+    text[order[place]] = "z" * 1500 + "q" * 3500
+    other = {i + 1000: "".join(rng.choice("bcd ") for _ in range(50)) for i in range(60) if zlib.crc32(str(i + 1000).encode()) % 3 != 1}
+    docs = spark.createDataFrame([(i, t, "a") for i, t in text.items()] + [(i, t, "b") for i, t in other.items()], "doc_id bigint, text string, lang string")
+    model = ppm_langid.train(docs, max_docs=20, max_bytes=2000)
+    b = [r.i for r in spark.createDataFrame([(i,) for i in other], "i bigint").orderBy(F.xxhash64("i")).collect()][:20]
+    want = ppm_langid.Model(["a", "b"], [ppm_langid.count_codes([text[i][:2000 - 19 * 50] for i in order[:20]]), ppm_langid.count_codes([other[i] for i in b])])
+    probes = ["abc cab", "zzzz", "qqqq", "bcd dcb", *text.values()]
+    assert model.lengths(probes) == pytest.approx(want.lengths(probes))
+    assert model.lengths(["abc cab a bca"]).argmin() == 0
+    two = spark.createDataFrame([(ids[0], "x" * 9000, "a"), (ids[1], "xy" * 4500, "a")], docs.schema)
+    want = ppm_langid.Model(["a"], [ppm_langid.count_codes(["x" * 1000, "xy" * 500])])
+    assert ppm_langid.train(two, max_bytes=2000).lengths(["xxyy"]) == pytest.approx(want.lengths(["xxyy"]))
+
+
 def test_quality_classifier(spark, documents):
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     vectors = ri_quality.word_vectors(docs)
