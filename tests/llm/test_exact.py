@@ -342,6 +342,24 @@ def test_lines_are_cleaned_first(spark, documents):
     assert line_rules.keep_clean(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("words, end", [("शब्द यहाँ लिखा", "।"), ("لفظ یہاں ہے", "۔"), ("كلمة هنا نص", "؟"), ("ቃል እዚህ ነው", "።"), ("բառ այստեղ է", "։"),
+                                        ("শব্দ এখানে লেখা", "।"), ("စာ ဒီမှာ ရှိ", "။"), ("คำ ที่ นี่", ""), ("word here now", "…")])
+def test_paragraphs_of_other_scripts_are_no_run_ons(spark, documents, words, end):
+    rng = random.Random(14)
+    text = " ".join(rng.choice(words.split()) + str(rng.randint(0, 999)) for _ in range(90)) + end
+    out = line_rules.judge(documents([(1, text)])).first()
+    assert out.kept and out.n_lines_removed == 0
+    bare = " ".join(f"word{rng.randint(0, 999)}" for _ in range(90))
+    assert line_rules.judge(documents([(1, bare)])).first().n_lines_removed == 1
+
+
+def test_phrases_match_whole_words_only(spark, documents):
+    clean = ["A design in blue and grey.", "The catalog in the hall is old.", "Her blog in March was long.", "They spread more seed.", "Widespread moreover rare."]
+    boiler = ["Sign in", "Please log in here", "READ MORE »", "Copyright ©2024 Acme", "(click here)", "log in/register", "1. sign in"]
+    out = {r.doc.doc_id: r.n_lines_removed for r in line_rules.judge(documents(list(enumerate(clean + boiler)))).collect()}
+    assert out == {n: int(n >= len(clean)) for n in range(len(clean + boiler))}
+
+
 # --- 10: packing ---------------------------------------------------------------------------
 
 def test_packing_is_an_exact_partition_of_the_tokens(spark, documents):
