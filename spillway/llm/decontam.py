@@ -8,6 +8,8 @@ algorithm then measures the edit distance in the window that the hit allows.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,11 +25,23 @@ BLOCK_BYTES = 4 << 20  # benchmark text held by one task at once; larger benchma
 
 # ASCII letters in lower case, other ASCII but digits as space, further UTF-8 bytes as they are
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256))
+_SIGN = re.compile(r"[^\x00-\x7f\w]")
+
+
+def _sign(found: re.Match) -> str:
+    """Outside ASCII: combining marks stay, invisible format characters (soft hyphen, zero width) go, all else is a space."""
+    kind = unicodedata.category(found[0])
+    return found[0] if kind[0] == "M" else "" if kind == "Cf" else " "
 
 
 def normalise(text: str | None) -> str:
-    """Lower-case words of the text's UTF-8 bytes, one space between them, as one character a byte."""
-    return b" ".join((text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()).decode("latin-1")
+    """Case-folded words of the text (compatibility forms made one, NFKC), one space between them: its UTF-8
+    bytes, as one character a byte. Any code point but letters, marks and digits separates words."""
+    t = text or ""
+    if not t.isascii():
+        t = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", t).casefold())
+        t = unicodedata.normalize("NFKC", _SIGN.sub(_sign, t))
+    return b" ".join(t.encode("utf-8", "surrogatepass").translate(_FOLD).split()).decode("latin-1")
 
 
 def budget(length: int, rate: float = ERROR_RATE) -> int:

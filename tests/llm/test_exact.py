@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -158,6 +159,29 @@ def test_decontamination_with_empty_tables(spark, documents):
     assert decontam.keep_unleaked(documents([(1, "x")]), empty).count() == 1
 
 
+def test_copies_in_other_typography_and_case_are_found(spark, documents):
+    rng = random.Random(13)
+    make = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    latin = "the \"quick\" brown fox - it's said - jumps over the lazy dog's bed while naïve cafés close at noon"
+    cyrillic, greek = make(["быстрая", "лиса", "прыгает", "через", "ленивую", "собаку"], 14), make(["γρήγορη", "αλεπού", "πηδάει", "πάνω", "σκύλος"], 14)
+    han, short = "敏捷的棕色狐狸「跳過」了那隻懶惰的狗，然後它就跑進森林裡去了。", "Ёлка №5 «тут»"
+    hindi = "तेज भूरी लोमड़ी आलसी कुत्ते के ऊपर से कूदती है और जंगल में भाग जाती है"
+    bench = spark.createDataFrame(list(enumerate([latin, cyrillic, greek, han, short, hindi])), "item_id bigint, text string")
+    nbsp = lambda t: t.replace(" ", "\u00a0")
+    copies = [
+        (0, nbsp(latin)), (0, latin.replace(' "', " \u201c").replace('" ', "\u201d ").replace("'", "\u2019").replace("-", "\u2014")),
+        (0, unicodedata.normalize("NFD", latin)), (0, latin.replace("brown", "br\u00adown").replace(" ", "\u2009")), (0, latin.upper()),
+        (0, "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else c for c in latin)),
+        (1, cyrillic.upper()), (1, nbsp(cyrillic.title())), (2, greek.upper()), (2, greek.title()),
+        (3, han.replace("，", "　").replace("「", "“").replace("」", "”")), (4, "ёлка\u00a0№5 — ТУТ"), (5, nbsp(hindi).replace("है", "है।")),
+    ]
+    docs = [f"перед {c} после" for _, c in copies] + ["ничего тут нет", "clean text only"]
+    got = {(r.doc_id, r.item_id): r.distance for r in decontam.matches(documents(list(enumerate(docs))), bench).collect()}
+    assert got == {(n, i): 0 for n, (i, _) in enumerate(copies)}
+    kept = {r.doc_id for r in decontam.keep_unleaked(documents(list(enumerate(docs))), bench).collect()}
+    assert kept == {len(copies), len(copies) + 1}
+
+
 # --- 3: SimHash ----------------------------------------------------------------------------
 
 def brute_print(text):
