@@ -37,8 +37,7 @@ def url_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def warc_archive(spark: SparkSession, d: str) -> DataFrame:
-    index = warc.archive(table(spark, d, "pages"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.report(warc.archive(table(spark, d, "pages")))
 
 
 def quality_rules(spark: SparkSession, d: str) -> DataFrame:

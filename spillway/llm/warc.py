@@ -30,6 +30,7 @@ VERSION = "WARC/1.1"
 FILE_BYTES = 24 << 20  # payload bytes aimed at for an archive file
 RANGE_ROWS = 100_000  # index entries aimed at for a merge task
 EPOCH = 1_700_000_000  # capture time of page 0 where a table has none
+SPAN = 250_000_000_000  # seconds after which capture times by page start again, so that years have four digits for any id
 ENTRY = ("file string, run bigint, urlkey string, ts bigint, page_id bigint, record_type string, payload_bytes bigint, "
          "payload_digest string, refers_to bigint, at bigint, size bigint, good boolean")
 
@@ -60,7 +61,7 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     rows = pages.select(
         F.col(id_col).cast("bigint").alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"),
         F.coalesce(F.col(payload_col), F.lit("")).alias("payload"),
-        (ts if ts is not None else F.lit(EPOCH) + F.coalesce(F.col(id_col), F.lit(0))).cast("bigint").alias("ts"))
+        (ts if ts is not None else F.lit(EPOCH) + F.pmod(F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)), F.lit(SPAN))).cast("bigint").alias("ts"))
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("bigint")).withColumn("payload_digest", digest_column(F.col("payload")))
     ids = pin(rows.select("page_id", "payload_bytes", "payload_digest"), "warc-ids")  # no payloads
     first = (ids.where(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes")
@@ -125,7 +126,8 @@ def _page(urn: str | None) -> int | None:
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
     """Index entries (ENTRY) of all archives under ``folder``: a run for each file, sorted by URL key, timestamp and page.
 
-    ``good``: a response's payload has the length and digest that its header states.
+    A response's length and digest are those of the block as read, a revisit's those that its header states.
+    ``good``: a response's block has the length and digest that its header states, a revisit has no block.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(folder).select("path", "content")
 
@@ -137,9 +139,10 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
                 for h, block, at, size in parse(raw):
                     url = h["WARC-Target-URI"].replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
                     when = datetime.strptime(h["WARC-Date"], "%Y-%m-%dT%H:%M:%SZ").replace(tzinfo=timezone.utc)
-                    sha = h["WARC-Payload-Digest"].removeprefix("sha1:")
-                    length = int(h["X-Payload-Length"])
-                    good = h["WARC-Type"] == "revisit" or (len(block) == length and digest(block) == sha)
+                    stated = int(h["X-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:")
+                    revisit = h["WARC-Type"] == "revisit"
+                    length, sha = stated if revisit else (len(block), digest(block))
+                    good = not block if revisit else (length, sha) == stated
                     entries.append((name, 0, url_key(url), int(when.timestamp()), _page(h["WARC-Record-ID"]), h["WARC-Type"],
                                     length, sha, _page(h.get("WARC-Refers-To")), at, size, good))
                 entries.sort(key=lambda e: (e[2], e[3], -1 if e[4] is None else e[4], e[9]))
@@ -227,6 +230,13 @@ def merge_index(entries: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     return ranged.mapInPandas(merge, f"{ENTRY}, range int, place bigint")
 
 
+def report(index: DataFrame) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of an index; fails at a record that is not ``good``."""
+    damaged = F.raise_error(F.concat(F.lit("damaged record in "), F.col("file"), F.lit(" at "), F.col("at").cast("string")))
+    return index.select("page_id", "payload_bytes", F.when(F.col("good"), F.col("payload_digest")).otherwise(damaged).alias("payload_digest"),
+                        "record_type", "refers_to")
+
+
 def archive(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url",
             payload_col: str = "html", least: int = 0) -> DataFrame:
     """Writes ``pages`` as archives under ``folder`` (a shared folder), reads them back and returns the merged index.

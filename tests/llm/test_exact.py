@@ -1,6 +1,7 @@
 """Operators with exact answers, against brute force written here."""
 
 import base64
+import gzip
 import hashlib
 import random
 import re
@@ -320,6 +321,30 @@ def test_small_payloads_are_not_revisited(spark, tmp_path):
     assert out == {1: None, 2: None, 3: None, 4: 3}
 
 
+def test_damaged_records_are_read_as_they_are(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "first payload"), (2, "v", "other payload")], "page_id bigint, url string, html string")
+    folder = tmp_path / "w"
+    warc.write(warc.records(pages), str(folder))
+    assert {r.page_id for r in warc.report(warc.read_index(spark, str(folder))).collect()} == {1, 2}
+    harmed = tmp_path / "harmed"
+    harmed.mkdir()
+    for n, path in enumerate(folder.glob("*.txt.gz")):
+        (harmed / f"{n}.txt.gz").write_bytes(gzip.compress(gzip.decompress(path.read_bytes()).replace(b"first payload", b"fxrst payload")))
+    index = warc.read_index(spark, str(harmed))
+    got = {r.page_id: (r.payload_digest, r.good) for r in index.collect()}
+    own = lambda b: base64.b32encode(hashlib.sha1(b).digest()).decode()
+    assert got == {1: (own(b"fxrst payload"), False), 2: (own(b"other payload"), True)}
+    with pytest.raises(Exception, match="damaged record"):
+        warc.report(index).collect()
+
+
+def test_any_bigint_is_a_page_id(spark, tmp_path):
+    ids = [0, 5, 10 ** 12, 2 ** 63 - 1, -(2 ** 63), -7]
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in ids], "page_id bigint, url string, html string")
+    out = {r.page_id: r.ts for r in warc.archive(pages, str(tmp_path / "w")).collect()}
+    assert out == {i: 1_700_000_000 + i % 250_000_000_000 for i in ids}
+
+
 @pytest.mark.parametrize("k", [0, 1, 2, 3, 5, 8, 13])
 def test_loser_tree_sorts(k):
     rng = random.Random(k)
