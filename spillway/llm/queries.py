@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, line_rules, packing, ppm_langid, ri_quality, secret_ledger, simhash, ssk_toxicity, url_rules, warc
+from . import (decontam, exact_fill, line_rules, packing, ppm_langid, ri_quality, secret_ledger, simhash, ssk_toxicity, token_align, url_rules,
+               warc, word_runs)
 from .common import table
 from .oracle import SQL
 
@@ -58,6 +59,19 @@ def sequence_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), packing.default_tokenizer())
 
 
+def tokenizer_alignment(spark: SparkSession, d: str) -> DataFrame:
+    found = token_align.align_documents(table(spark, d, "documents"), token_align.default_tokenizers(), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    return exact_fill.pack(table(spark, d, "documents"), packing.default_tokenizer())
+
+
+def periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    return word_runs.report(word_runs.find_runs(table(spark, d, "documents"), word_runs.plant_period))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan,
     "op2_decontamination": decontamination,
@@ -69,4 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality_classifier,
     "op9_toxicity": toxicity,
     "op10_packing": sequence_packing,
+    "op11_tokenizer_alignment": tokenizer_alignment,
+    "op12_best_fit_packing": best_fit_packing,
+    "op13_periodic_runs": periodic_runs,
 }
