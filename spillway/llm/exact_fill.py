@@ -221,7 +221,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     table = slots(plan(counts))
     blocks = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("block", "length", F.coalesce(F.sum("n").over(blocks), F.lit(0)).alias("base"))
-    numbered = cut.join(bases, ["block", "length"]).withColumn("nth", F.col("base") + F.col("nth"))
+    numbered = cut.join(bases.hint("merge"), ["block", "length"])  # grows with the blocks: never broadcast
+    numbered = numbered.withColumn("nth", F.col("base") + F.col("nth"))
     key = table[:, 0] << 48 | table[:, 1]
 
     @F.pandas_udf("sequence_id bigint, offset bigint")

@@ -26,6 +26,8 @@ END_ID = 2
 DIMS, BITS = 4, 8
 MEMO = 400_000  # words whose ids a worker remembers
 SEQUENCES_A_RANGE = 1 << 33
+HASH_BITS = 30  # of the hashed id, beside the curve key, when ranges are cut
+RANGE_BYTES = 64 << 20  # text of a range, above which more ranges are cut
 PIECE = 1 << 20  # bytes projected, or new words merged, at once
 TEXTS = 512  # texts tokenized at once
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
@@ -66,8 +68,23 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_BYTE = (np.arange(1, 257, dtype=np.uint64) * _MIX) ^ (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(17))
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """_MIX ** i and its inverse modulo 2^64, for i < n at least."""
+    size = max(PIECE * 2, 1 << n.bit_length())
+    if size not in _POWERS:
+        _POWERS.clear()
+        inverse = np.uint64(pow(int(_MIX), -1, 1 << 64))
+        _POWERS[size] = tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, x)]), dtype=np.uint64) for x in (_MIX, inverse))
+    return _POWERS[size]
+
+
 def project(texts: list[str | None]) -> np.ndarray:
-    """(n, DIMS) grid points: hashed signs of the 8 bytes from each word's start, summed, scaled by the root of the count.
+    """(n, DIMS) grid points: hashed signs of the words, summed, scaled by the root of their count.
 
     A text without words lies in the middle. Texts are taken in groups of bounded size, or alone.
     """
@@ -85,17 +102,21 @@ def project(texts: list[str | None]) -> np.ndarray:
 def _project(texts: list[bytes]) -> np.ndarray:
     if not texts:
         return np.zeros((0, DIMS), np.int64)
-    flat = b"".join(b"\n" + t for t in texts) + b"\n" + bytes(8)
-    raw = np.frombuffer(flat, np.uint8)
-    space = _SPACE[raw[:-8]]
+    raw = np.frombuffer(b"".join(b"\n" + t for t in texts) + b"\n", np.uint8)
+    space = _SPACE[raw]
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    stops = np.flatnonzero(~space[:-1] & space[1:]) + 1
     begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
     first = np.searchsorted(starts, begin)
     count = np.diff(first)
-    grams = np.ndarray((len(flat) - 7,), "<u8", flat, strides=(1,))[starts]
-    h = (grams ^ (grams >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(32)
+    # a word's polynomial hash, from running sums over all bytes: every byte of the word counts, and its place in the word
+    power, inverse = _powers(len(raw))
+    running = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[raw] * power[:len(raw)], dtype=np.uint64)])
+    h = (running[stops] - running[starts]) * inverse[starts]
+    h ^= h >> np.uint64(29)
     h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    h *= _MIX
     z = np.empty((len(texts), DIMS))
     for d in range(DIMS):
         ones = np.concatenate([[0], np.cumsum(((h >> np.uint64(63 - d)) & np.uint64(1)).astype(np.int64))])
@@ -265,24 +286,27 @@ def pack(docs: DataFrame, path: str, ranges: int | None = None, id_col: str = "d
          limit: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """One row for each piece of each row of ``docs``: see PIECES. ``path``: the tokenizer file, on every machine.
 
-    Texts move once, range-sorted by (Hilbert key, hashed id); every range is packed by one task
-    that holds one batch of texts and one open sequence. sequence_id is unique over all ranges
-    (range number * 2^33 + number in the range), not consecutive.
+    Texts move once, sorted by (Hilbert key, hashed id) in ranges cut at quantiles of the keys; every range is packed by one
+    task that holds one batch of texts and one open sequence. The range's number is a column of its rows, and
+    sequence_id is that number * 2^33 + the sequence's number in the range: unique however Spark joins or
+    splits the tasks later, not consecutive. There are as many ranges as the session's shuffle width, and more
+    where a range would hold over RANGE_BYTES of text.
 
     Defined cases: a NULL text counts as empty and gives one piece, the end id alone; a text of
     any length is cut over as many sequences as it needs; repeated rows and ids are packed
     row by row; a NULL doc_id is kept; an empty table gives no rows; other columns are ignored.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).alias("t"))
-    rows = rows.withColumn("k", curve_key(F.col("t"))).withColumn("h", F.xxhash64("i"))
-    name = [F.col("k"), F.col("h")]
-    ranged = rows.repartitionByRange(ranges or width(docs.sparkSession), *name).sortWithinPartitions(*name)
+    if ranges is None:
+        size = rows.agg(F.sum(F.octet_length("t")).alias("b")).first()["b"] or 0
+        ranges = max(width(spark), -(-size // RANGE_BYTES))
+    keyed = rows.withColumn("k", F.shiftleft(curve_key(F.col("t")), HASH_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64("i"), 64 - HASH_BITS)))
+    ranged = _in_ranges(keyed, ranges).repartitionById(ranges, "r").sortWithinPartitions("r", "k", "i")
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
         words = tokenizer(path)
-        packer = Packer(TaskContext.get().partitionId() * SEQUENCES_A_RANGE, limit)
+        packer, own = None, None
         end = np.array([end_id], np.uint16)
         columns = [c.split()[0] for c in PIECES.split(", ")]
 
@@ -293,17 +317,40 @@ def pack(docs: DataFrame, path: str, ranges: int | None = None, id_col: str = "d
             out: list[tuple] = []
             for at in range(0, len(batch), TEXTS):
                 part = batch[at:at + TEXTS]
-                for i, ids, k in zip(part["i"], words.encode(part["t"].tolist()), part["k"]):
-                    out += packer.add(None if pd.isna(i) else int(i), np.concatenate([ids, end]), k)
+                for i, ids, k, r in zip(part["i"], words.encode(part["t"].tolist()), part["k"], part["r"]):
+                    if r != own:
+                        out += packer.close() if packer else ()
+                        packer, own = Packer(int(r) * SEQUENCES_A_RANGE, limit), r
+                    out += packer.add(None if pd.isna(i) else int(i), np.concatenate([ids, end]), k >> HASH_BITS)
                 if len(out) > 20_000:
                     yield frame(out)
                     out = []
             yield frame(out)
-        yield frame(list(packer.close()))
+        if packer:
+            yield frame(list(packer.close()))
 
     return ranged.mapInPandas(fill, PIECES)
 
 
+def _in_ranges(keyed: DataFrame, ranges: int) -> DataFrame:
+    """``keyed`` with ``r``: how many of at most ``ranges - 1`` split points are at or below the row's key ``k``.
+
+    The points are quantiles of all keys from a sketch (bounded memory in every task and at the driver), taken
+    once, so every job and retry agrees.
+    """
+    points: list[int] = []
+    if ranges > 1:
+        cuts = [n / ranges for n in range(1, ranges)]
+        points = sorted(set(keyed.agg(F.percentile_approx("k", cuts, 20 * ranges).alias("q")).first()["q"] or []))
+    bounds = np.array(points, np.int64)
+
+    @F.pandas_udf("int")
+    def number(k: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, k.to_numpy(), side="right").astype(np.int32))
+
+    return keyed.withColumn("r", number(F.col("k")))
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 

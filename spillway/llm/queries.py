@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from . import (decontam, exact_fill, line_rules, packing, ppm_langid, ri_quality, secret_ledger, simhash, ssk_toxicity, token_align, url_rules,
                warc, word_runs)
 from .common import table
@@ -17,7 +16,7 @@ __all__ = ["QUERIES", "SQL"]
 
 
 def secret_scan(spark: SparkSession, d: str) -> DataFrame:
-    return secret_ledger.report(secret_ledger.scan_versions(table(spark, d, "documents"), scratch_path(spark, "secret-ledger")))
+    return secret_ledger.report(secret_ledger.scan_versions(table(spark, d, "documents"), secret_ledger.ledger_path(spark)))
 
 
 def decontamination(spark: SparkSession, d: str) -> DataFrame:

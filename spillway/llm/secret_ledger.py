@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import free_name
 
+CONF_LEDGER = "spillway.secrets.ledger"
 SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -100,8 +101,7 @@ def scan_versions(versions: DataFrame, ledger: str, path_col: str = "doc_id", te
     found = (text.select("blob", find_secrets(F.col("text"), rules).alias("spans"))
              .dropDuplicates(["blob"]).select("blob", F.lit(rule_version).alias("rule_version"), "spans"))
     found.write.mode("append").parquet(ledger)
-    done = read_ledger(spark, ledger).where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
-    done = done.select(F.col("blob").alias("b"), "spans")
+    done = findings(spark, ledger, rule_version).select(F.col("blob").alias("b"), "spans")
     return (rows.select("path", "blob").join(done, F.col("blob") == F.col("b"), "left")
             .select("path", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans")))
 
@@ -114,6 +114,17 @@ def read_ledger(spark, ledger: str) -> DataFrame:
     return spark.read.schema(schema).parquet(ledger) if there else spark.createDataFrame([], schema)
 
 
+def findings(spark, ledger: str, rule_version: str) -> DataFrame:
+    """(blob, spans) of the blobs with a finding, one row each: overlapping scans may have added a pair twice, with the same spans."""
+    rows = read_ledger(spark, ledger).where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
+    return rows.select("blob", "spans").dropDuplicates(["blob"])
+
+
+def ledger_path(spark) -> str:
+    """The ledger folder that the session names (``spillway.secrets.ledger``), which later scans go on from; else a new one."""
+    return spark.conf.get(CONF_LEDGER, None) or scratch_path(spark, "secret-ledger")
+
+
 def digest(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """``kind:start:end`` of the spans, comma-joined."""
     kinds = F.array(*[F.lit(r.kind) for r in rules])
@@ -154,9 +165,9 @@ def mask_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     The texts move once, keyed by blob; copies of one blob are split by the adaptive skew join.
     """
     spark = docs.sparkSession
-    ledger = ledger or scratch_path(spark, "secret-ledger")
+    ledger = ledger or ledger_path(spark)
     scan_versions(docs, ledger)
-    done = read_ledger(spark, ledger).where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0))
+    done = findings(spark, ledger, RULE_VERSION)
     b, s, k = (free_name(docs.columns, x) for x in ("blob_", "spans_", "own_blob_"))
     done = done.select(F.col("blob").alias(b), F.col("spans").alias(s))
     # texts without a secret-like match carry a NULL key: they meet nothing and need no hash

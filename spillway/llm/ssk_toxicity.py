@@ -17,12 +17,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out
@@ -33,6 +32,7 @@ LETTERS = 27  # padding, a to z: their triples have a weight each; triples with
 WINDOW, STEP = 24, 12  # longer tokens are read in overlapping windows
 LANDMARKS, POSITIVES, NEGATIVES, ROUNDS = 256, 1200, 6000, 3
 MAX_DOCS = 6000  # labelled documents of each kind used for training, by hash order
+MAX_TOKENS = 2_000_000  # and distinct tokens of these documents, added up
 MEMO = 300_000
 THRESHOLD = 0.5
 
@@ -186,7 +186,7 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20.0, steps
     z = np.hstack([x, np.ones((len(x), 1))])
     keep = np.ones(z.shape[1])
     keep[-1] = 1e-3
-    step = 1 / (1 + 2 * c * np.linalg.norm(z * np.sqrt(weight)[:, None], 2) ** 2)
+    step = 1 / (1 + 2 * c * np.linalg.eigvalsh(z.T @ (z * weight[:, None]))[-1])  # largest eigenvalue of the Gram matrix
     w = prev = np.zeros(z.shape[1])
     for t in range(steps):
         look = w + t / (t + 3) * (w - prev)
@@ -208,62 +208,86 @@ def variants(word: str) -> list[str]:
     return out
 
 
-def _witnesses(ranked: list[str], toxic: list[list[str]]) -> list[str]:
+def _witnesses(ranked: list[int], toxic: list[np.ndarray], size: int) -> list[int]:
     """Of the tokens in their order, those that some toxic bag needs (it holds none that came before) or a tenth of them holds."""
-    where: dict[str, list[int]] = {}
-    for n, bag in enumerate(toxic):
-        for w in bag:
-            where.setdefault(w, []).append(n)
-    explained, out = set(), []
-    for w in ranked:
-        if len(where[w]) * 10 >= max(50, len(toxic)) or not explained.issuperset(where[w]):
-            explained.update(where[w])
+    wanted = np.zeros(size, bool)
+    wanted[ranked] = True
+    flat = np.concatenate(toxic)
+    owner = np.repeat(np.arange(len(toxic)), [len(b) for b in toxic])[wanted[flat]]
+    flat = flat[wanted[flat]]
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    explained, out = np.zeros(len(toxic), bool), []
+    for w, low, high in zip(ranked, np.searchsorted(flat, ranked), np.searchsorted(flat, ranked, side="right")):
+        own = owner[low:high]
+        if len(own) * 10 >= max(50, len(toxic)) or not explained[own].all():
+            explained[own] = True
             out.append(w)
     return out
 
 
-def train(bags: list[tuple[int, list[str]]], seed: int = 9):
+def numbered(bags: Iterable[tuple[int, Iterable[str]]]) -> tuple[list[str], list[tuple[int, np.ndarray]], np.ndarray]:
+    """(vocabulary, distinct bags as sorted token numbers, labels of all bags). Bags are taken one at a time, so no more
+    than one bag is held as strings; copies count once, and a label that differs between copies stays."""
+    index: dict[str, int] = {}
+    labels, distinct = [], set()
+    for label, words in bags:
+        labels.append(label)
+        distinct.add((label, np.array(sorted({index.setdefault(w, len(index)) for w in sorted(set(words)) if len(w) >= 3}), np.int32).tobytes()))
+    return list(index), [(y, np.frombuffer(b, np.int32)) for y, b in sorted(distinct)], np.array(labels)
+
+
+def train(bags: Iterable[tuple[int, Iterable[str]]], seed: int = 9):
     """Machine from bags (label, folded tokens of a document's sentences)."""
-    labels = np.array([y for y, _ in bags])
+    words, bags, labels = numbered(bags)
     if len(set(labels.tolist())) < 2:
         return Constant(float(labels.mean()) if len(labels) else 0.5)
-    # copies count once; a label that differs between copies stays
-    bags = [(y, list(b)) for y, b in sorted({(y, tuple(sorted({w for w in words if len(w) >= 3}))) for y, words in bags})]
+    index = {w: n for n, w in enumerate(words)}
     labels = np.array([y for y, _ in bags])
-    in_toxic, in_clean = Counter(w for y, b in bags if y for w in b), Counter(w for y, b in bags if not y for w in b)
+    toxic = [b for y, b in bags if y]
+    in_toxic = np.bincount(np.concatenate(toxic), minlength=len(words))
+    in_clean = np.bincount(np.concatenate([b for y, b in bags if not y]), minlength=len(words))
     share = labels.sum() / max(1, len(labels) - labels.sum())
     rng = np.random.default_rng(seed)
-    clean = sorted(in_clean)
-    clean_pick = [clean[i] for i in rng.permutation(len(clean))[:NEGATIVES]]
-    common = [w for w, _ in sorted(in_clean.items(), key=lambda x: (-x[1], x[0]))[:NEGATIVES // 4]]
-    negative = sorted({*clean_pick, *common})
-
-    def odds(w: str) -> float:
-        return in_toxic[w] * np.log((in_toxic[w] + 0.5) / (share * in_clean[w] + 0.5))
-
-    ranked = sorted((w for w in in_toxic if in_toxic[w] >= 2 and in_clean[w] == 0), key=lambda w: (-odds(w), w))
-    positive = _witnesses(ranked, [b for y, b in bags if y])[:POSITIVES] or sorted(in_toxic, key=lambda w: (-odds(w), w))[:10]
+    by_word = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)  # ties go by the word
+
+    def top(pick: np.ndarray, value: np.ndarray, most: int) -> list[int]:
+        """Tokens that ``pick`` marks, by falling value, then word."""
+        own = by_word[pick[by_word]]
+        return own[np.argsort(-value[own], kind="stable")][:most].tolist()
+
+    clean = by_word[in_clean[by_word] > 0]
+    negative = {*clean[rng.permutation(len(clean))[:NEGATIVES]].tolist(), *top(in_clean > 0, in_clean, NEGATIVES // 4)}
+    odds = in_toxic * np.log((in_toxic + 0.5) / (share * in_clean + 0.5))
+    ranked = top((in_toxic >= 2) & (in_clean == 0), odds, len(words))
+    positive = _witnesses(ranked, toxic, len(words))[:POSITIVES] or top(in_toxic > 0, odds, 10)
     half = LANDMARKS // 2
-    marks = [*positive[:half], *(w for w in negative[::max(1, len(negative) // (LANDMARKS - half))][:LANDMARKS - half] if w not in set(positive[:half]))]
-    mark_codes = np.concatenate([encode([w[:WINDOW]])[0] for w in marks])
+    marks, spread = positive[:half], sorted(negative, key=words.__getitem__)
+    marks = marks + [w for w in spread[::max(1, len(spread) // (LANDMARKS - half))][:LANDMARKS - half] if w not in set(marks)]
+    mark_codes = np.concatenate([encode([words[w][:WINDOW]])[0] for w in marks])
     others = other_triples(mark_codes)  # a triple that no landmark holds adds nothing to the kernel
     phi = features(mark_codes, others)
     values, vectors = np.linalg.eigh((phi @ phi.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])  # K(L, L)^-1/2, without its null space
 
-    def mapped(words: list[str]) -> np.ndarray:
+    def mapped(own: list[str]) -> np.ndarray:
         out = []
-        for at in range(0, len(words), 500):
-            codes = np.concatenate([encode([w[:WINDOW]])[0] for w in words[at:at + 500]])
+        for at in range(0, len(own), 500):
+            codes = np.concatenate([encode([w[:WINDOW]])[0] for w in own[at:at + 500]])
             out.append(features(codes, others) @ phi.T)
         return np.concatenate(out).astype(np.float64) @ whiten if out else np.zeros((0, whiten.shape[1]))
 
-    machine = None
-    hard: set[str] = set()
-    for round_ in range(ROUNDS):
-        negatives = sorted({*negative, *hard} - set(positive))
-        shown = [(v, in_toxic[w]) for w in positive for v in (w, *variants(w)) if v == w or v not in in_clean]
+    flat = np.concatenate([b for _, b in bags])
+    cuts = np.cumsum([0, *(len(b) for _, b in bags)])
+    filled = np.flatnonzero(np.diff(cuts))
+    owner = np.repeat(np.arange(len(bags)), np.diff(cuts))
+    in_toxic_bag = labels[owner] == 1
+    machine, hard = None, set()
+    for _ in range(ROUNDS):
+        negatives = [words[w] for w in sorted({*negative, *hard} - set(positive), key=words.__getitem__)]
+        shown = [(v, in_toxic[w]) for w in positive for v in (words[w], *variants(words[w]))
+                 if v == words[w] or v not in index or not in_clean[index[v]]]
         n = len(shown)
         x = np.vstack([mapped([v for v, _ in shown]), mapped(negatives)])
         y = np.array([1.0] * n + [-1.0] * len(negatives))
@@ -272,17 +296,15 @@ def train(bags: list[tuple[int, list[str]]], seed: int = 9):
         support[n:] = 0.5 / max(1, len(negatives))
         w, bias = svm(x, y, support * len(y) / 10)
         machine = Machine((whiten @ w) @ phi, bias, others=others)
-        vocabulary = sorted({*in_toxic, *in_clean})
-        margin = dict(zip(vocabulary, machine.token_scores(vocabulary)))
-        tops = [max((margin[t] for t in b), default=-1.0) for _, b in bags]
+        margin = machine.token_scores(words)
+        tops = np.full(len(bags), -1.0)
+        tops[filled] = np.maximum.reduceat(margin[flat], cuts[filled]) if filled.size else -1.0
         # the next round's positives: of each toxic bag its best token and all that clear the margin
-        chosen: Counter[str] = Counter()
-        for (label, b), top in zip(bags, tops):
-            if label and b:
-                chosen.update(t for t in b if margin[t] >= max(min(top, 0.5), 0.0) and in_clean[t] <= 0.02 * in_toxic[t])
-        positive = [w for w, _ in sorted(chosen.items(), key=lambda x: (-x[1], x[0]))[:POSITIVES]] or positive
-        hard |= set(sorted((w for w in in_clean if margin[w] > -0.5), key=lambda w: (-margin[w], w))[:NEGATIVES // 4])
-    best = np.clip(np.array(tops), -3, 3)
+        clears = in_toxic_bag & (margin[flat] >= np.maximum(np.minimum(tops, 0.5), 0.0)[owner]) & (in_clean <= 0.02 * in_toxic)[flat]
+        chosen = np.bincount(flat[clears], minlength=len(words))
+        positive = top(chosen > 0, chosen, POSITIVES) or positive
+        hard |= set(top((in_clean > 0) & (margin > -0.5), margin, NEGATIVES // 4))
+    best = np.clip(tops, -3, 3)
     machine.scale = _platt(best, labels)
     return machine
 
@@ -321,20 +343,26 @@ class Scorer:
         return np.clip(np.array(out), -3, 3)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: tuple[int, int] = (5, 0), max_docs: int = MAX_DOCS):
-    """Trains on at most ``max_docs`` labelled documents of each kind; tasks send the folded tokens of each."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: tuple[int, int] = (5, 0), max_docs: int = MAX_DOCS,
+        max_tokens: int = MAX_TOKENS):
+    """Trains on at most ``max_docs`` labelled documents of each kind; tasks send the folded tokens of each.
+
+    Documents are taken by hash order while their distinct tokens add up to at most ``max_tokens`` (those with over a
+    hundredth of it come last), so what the driver holds is bounded in bytes and not only in rows.
+    """
 
     def bag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"i": batch["i"], "y": batch["y"], "w": [" ".join(sorted({letters(w) for w in tokens(t)})) for t in batch["t"]]})
+            own = [sorted({letters(w) for w in tokens(t)}) for t in batch["t"]]
+            yield pd.DataFrame({"i": batch["i"], "y": batch["y"], "n": [len(b) for b in own], "w": [" ".join(b) for b in own]})
 
     got = []
     for kind in (1, 0):
-        own = labels.where(F.col(label) == kind)
-        rows = labelled_sample(docs, own, label, *fold, max_docs).mapInPandas(bag, "i bigint, y int, w string")
-        got.append(rows.toPandas())
+        rows = labelled_sample(docs, labels.where(F.col(label) == kind), label, *fold, max_docs).mapInPandas(bag, "i bigint, y int, n bigint, w string")
+        order = Window.orderBy(F.col("n") * 100 > max_tokens, F.xxhash64("i"), "i", "w").rowsBetween(Window.unboundedPreceding, 0)
+        got.append(rows.withColumn("upto", F.sum("n").over(order)).where(F.col("upto") <= max_tokens).select("i", "y", "w").toPandas())
     frame = pd.concat(got).sort_values(["i", "y", "w"], kind="stable").drop_duplicates(["i", "y"])
-    return train([(int(y), w.split()) for y, w in zip(frame["y"], frame["w"])])
+    return train((int(y), w.split()) for y, w in zip(frame["y"], frame["w"]))
 
 
 def score(docs: DataFrame, machine, id_col: str = "doc_id", text_col: str = "text", fold: tuple[int, int] = (5, 0),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import pin
 from .common import width
 
-SEP = "\x01"  # between labels and before the path: sorts below every character of a host
+SEP, ESCAPE = "\x01", "\x02"  # SEP stands between labels and before the path, and in no label
 
 # The rules of the registered query (host, path, verdict).
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -35,15 +35,20 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def labels(host_: Column) -> Column:
+    """Labels of a host, the last first; a separator within one is written as two escapes, an escape as escape and \\x03."""
+    plain = F.replace(F.replace(host_, F.lit(ESCAPE), F.lit(ESCAPE + "\x03")), F.lit(SEP), F.lit(ESCAPE * 2))
+    return F.reverse(F.split(plain, r"\."))
+
+
 def rule_key(host_: Column, path_: Column) -> Column:
-    return F.concat(F.array_join(F.reverse(F.split(host_, r"\.")), SEP), F.lit(SEP), path_)
+    return F.concat(F.array_join(labels(host_), SEP), F.lit(SEP), path_)
 
 
 def suffix_keys(host_: Column, path_: Column) -> Column:
     """One key for each host suffix, the whole host last."""
-    labels = F.reverse(F.split(host_, r"\."))
-    return F.transform(F.sequence(F.lit(1), F.size(labels)),
-                       lambda n: F.concat(F.array_join(F.slice(labels, 1, n), SEP), F.lit(SEP), path_))
+    own = labels(host_)
+    return F.transform(F.sequence(F.lit(1), F.size(own)), lambda n: F.concat(F.array_join(F.slice(own, 1, n), SEP), F.lit(SEP), path_))
 
 
 def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -55,7 +60,8 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
 
     Defined cases: a NULL url or one without ``://`` has an empty host and path and no rule; no
     fitting rule gives ``default`` and a NULL rule; of equal rules (same host and path) the
-    alphabetically first verdict counts; rules with a NULL host or path are ignored; repeated
+    alphabetically first verdict counts; rules with a NULL host or path, or a path that no url
+    has (one without a leading slash), are ignored; repeated
     rows are each judged; an empty table gives no rows; other columns are ignored.
     """
     spark = pages.sparkSession
@@ -66,7 +72,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
              .repartitionByRange(width(spark), "key", "row").withColumn("part", F.spark_partition_id()))
     keyed = pin(keyed, "url-keys")
     bounds = keyed.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))  # one row a range
-    named = (rules.where("host IS NOT NULL AND path IS NOT NULL").groupBy("host", "path").agg(F.min("verdict").alias("verdict"))
+    named = (rules.where("host IS NOT NULL AND (path = '' OR startswith(path, '/'))").groupBy("host", "path").agg(F.min("verdict").alias("verdict"))
              .select(rule_key(F.col("host"), F.col("path")).alias("rkey"), F.concat("host", "path").alias("rule"), "verdict"))
     # a rule goes to every range that its interval meets: few ranges, but for the broadest rules
     dealt = named.join(F.broadcast(bounds), (F.col("rkey") <= F.col("high")) & ((F.col("rkey") >= F.col("low")) | F.col("low").startswith(F.col("rkey"))))
@@ -87,7 +93,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
                 if kind == 0:
                     active.append((key, rule, verdict))
                 elif active:
-                    out.append((int(row), active[-1][1], active[-1][2], len(active[-1][0])))
+                    out.append((int(row), active[-1][1], active[-1][2], len(active[-1][1])))
             yield pd.DataFrame(out, columns=["row", "rule", "verdict", "size"])
 
     hits = events.mapInPandas(run, "row bigint, rule string, verdict string, size int")

@@ -455,3 +455,46 @@ def test_near_copies_share_a_sequence_region():
     points = packing.project(base + [b + " tail" for b in base])
     assert np.abs(points[:30] - points[30:]).max() <= 8
     assert Counter(map(tuple, packing.project([None, "", " "])))[(128,) * 4] == 3
+
+
+def test_sequence_ids_survive_a_coalesce(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    packed = packing.pack(docs, packing.default_tokenizer(), ranges=8)
+    own = [tuple(r) for r in packed.select("doc_id", "start", "sequence_id", "offset").collect()]
+    assert len({r[2:] for r in own}) == len(own) and len({r[2] >> 33 for r in own}) == 8
+    for n in (1, 3):
+        assert sorted(tuple(r) for r in packed.select("doc_id", "start", "sequence_id", "offset").coalesce(n).collect()) == sorted(own)
+
+
+def test_projection_reads_whole_words():
+    points = packing.project(["abcdefghXX yy", "abcdefghYY yy", "приветик", "приветов", "", None, " \n", "zz abcdefghXX", "yy abcdefghXX "])
+    assert len({tuple(p) for p in points[:4]}) > 2
+    assert (points[4] == points[5]).all() and (points[4] == points[6]).all() and (points[0] == points[8]).all()
+
+
+def test_hosts_with_control_characters(spark):
+    pages = spark.createDataFrame([(1, "http://a\x01b.net/"), (2, "http://b.a.net/"), (3, "http://a\x02\x02.net/"), (4, "http://a.net/x")], "page_id long, url string")
+    rules = spark.createDataFrame([("b.a.net", "/", "block"), ("a\x01b.net", "/", "deny"), ("a\x01.net", "/", "wrong"), ("net", "a", "wrong")],
+                                  "host string, path string, verdict string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_rules.judge(pages, rules).collect()}
+    assert got == {1: ("a\x01b.net/", "deny"), 2: ("b.a.net/", "block"), 3: (None, "allow"), 4: (None, "allow")}
+
+
+def test_overlapping_scans_report_each_version_once(spark, documents, tmp_path):
+    docs, ledger = documents([(1, "password=abcdef1"), (2, "x")]), str(tmp_path / "ledger")
+    secret_ledger.scan_versions(docs, ledger).collect()
+    twice = spark.createDataFrame(secret_ledger.read_ledger(spark, ledger).collect(), secret_ledger.read_ledger(spark, ledger).schema)
+    twice.write.mode("append").parquet(ledger)
+    out = secret_ledger.report(secret_ledger.scan_versions(docs, ledger)).collect()
+    assert sorted((r.doc_id, r.n_assign) for r in out) == [(1, 1), (2, 0)]
+    assert {r.text for r in secret_ledger.mask_secrets(docs, ledger).collect()} == {"[REDACTED]", "x"}
+
+
+def test_ledger_of_the_session_is_used_again(spark, documents, tmp_path):
+    spark.conf.set(secret_ledger.CONF_LEDGER, str(tmp_path / "kept"))
+    try:
+        for _ in range(2):
+            secret_ledger.scan_versions(documents([(1, "password=abcdef1")]), secret_ledger.ledger_path(spark)).collect()
+        assert secret_ledger.read_ledger(spark, secret_ledger.ledger_path(spark)).count() == 1
+    finally:
+        spark.conf.unset(secret_ledger.CONF_LEDGER)

@@ -200,3 +200,25 @@ def test_pipeline_keeps_clean_documents_and_drops_the_rest(spark):
     five = stages["packing"](spark, four, d)
     assert {r.doc_id for r in five.collect()} == {r.doc_id for r in four.collect()}
     assert pipeline.run(spark, d).count() == five.count()
+
+
+def test_toxicity_on_the_held_out_fold(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    out = ssk_toxicity.classify(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    toxic, clean = (out[out["toxic"] == y]["predicted"] for y in (1, 0))
+    assert len(toxic) > 20 and (toxic == 1).mean() >= 0.95 and (clean == 0).mean() >= 0.98
+
+
+def test_training_bags_are_bounded_in_tokens(spark, documents):
+    docs = documents([(i, f"w{i} " + " ".join(f"t{k}" for k in range(i * 10))) for i in range(1, 60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, toxic int")
+    seen = []
+    real = ssk_toxicity.train
+    ssk_toxicity.train = lambda bags: seen.extend((y, list(w)) for y, w in bags) or real([])
+    try:
+        ssk_toxicity.fit(docs, labels, max_tokens=3000)
+    finally:
+        ssk_toxicity.train = real
+    for kind in (0, 1):
+        sizes = [len(w) for y, w in seen if y == kind]
+        assert sizes and sum(sizes) <= 3000
