@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from spillway.operators.queue import relay_batch
 from spillway.session import scratch_path
 from spillway.sinks.list_store import FileListStore, push_ordered

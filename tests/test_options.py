@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from spillway.operators.queue import route
 from spillway.options import RelayOptions
 from spillway.session import scratch_path

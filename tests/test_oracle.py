@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tools.check_oracle import canon
 import __spark_entry__ as entry
 from spillway.plans.catalog import QUERIES as CATALOG

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from paths import SF_MID
 from spillway.operators import gate, ledger as led, queue as q
 from spillway.plans.catalog import OPTIONS
 from spillway.sources.messages import ledger, load_messages

@@ -4,7 +4,7 @@ import os
 import subprocess
 import sys
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 SCRIPT = os.path.join(os.path.dirname(__file__), "scripts", "retry_run.py")
 

@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from paths import SF_MID
 from spillway.operators import gauge, queue as q
 from spillway.operators.scan import (BIG, clamp_scan, compose_prefix, previous_value, row_index,
                                      running_sum)

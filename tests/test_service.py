@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from spillway.operators import ledger as led
 from spillway.options import RelayOptions
 from spillway.session import scratch_path
