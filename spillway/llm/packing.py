@@ -75,7 +75,7 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_MIX ** i and its inverse modulo 2^64, for i < n at least."""
-    size = max(PIECE * 2, 1 << n.bit_length())
+    size = 1 << max(n, PIECE).bit_length()
     if size not in _POWERS:
         _POWERS.clear()
         inverse = np.uint64(pow(int(_MIX), -1, 1 << 64))
@@ -92,13 +92,31 @@ def project(texts: list[str | None]) -> np.ndarray:
     for text in texts:
         held.append((text or "").encode("utf-8", "surrogatepass"))
         size += len(held[-1])
-        if size > PIECE:
+        if size > PIECE // 2:
             parts.append(_project(held))
             held, size = [], 0
     parts.append(_project(held))
     return np.concatenate(parts)
 
 
+def _hash_words(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Polynomial hash of each word, from running sums over the bytes: every byte counts, and its place in the word.
+
+    Sums are taken over about PIECE bytes at once (a longer word alone), so a long text needs no table of its length.
+    """
+    h = np.empty(len(starts), np.uint64)
+    low = 0
+    while low < len(starts):
+        high = max(low + 1, int(np.searchsorted(starts, starts[low] + PIECE)))
+        begin, end = starts[low], stops[high - 1]
+        power, inverse = _powers(int(end - begin))
+        running = np.zeros(int(end - begin) + 1, np.uint64)
+        np.cumsum(_BYTE[raw[begin:end]] * power[:end - begin], out=running[1:])
+        h[low:high] = (running[stops[low:high] - begin] - running[starts[low:high] - begin]) * inverse[starts[low:high] - begin]
+        low = high
+    return h
+
+
 def _project(texts: list[bytes]) -> np.ndarray:
     if not texts:
         return np.zeros((0, DIMS), np.int64)
@@ -109,10 +127,7 @@ def _project(texts: list[bytes]) -> np.ndarray:
     begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
     first = np.searchsorted(starts, begin)
     count = np.diff(first)
-    # a word's polynomial hash, from running sums over all bytes: every byte of the word counts, and its place in the word
-    power, inverse = _powers(len(raw))
-    running = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[raw] * power[:len(raw)], dtype=np.uint64)])
-    h = (running[stops] - running[starts]) * inverse[starts]
+    h = _hash_words(raw, starts, stops)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
@@ -125,13 +140,15 @@ def _project(texts: list[bytes]) -> np.ndarray:
     return np.clip((z + 8) * (1 << BITS) / 16, 0, (1 << BITS) - 1).astype(np.int64)
 
 
-def curve_key(text: Column) -> Column:
-    @F.pandas_udf("bigint")
-    def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(hilbert(project(batch.tolist())))
+def curve_key(text: Column, mix: Column, bounds: np.ndarray) -> Column:
+    """(k, r): the text's Hilbert key with HASH_BITS of ``mix`` below it, and how many of the sorted ``bounds`` are at or below k."""
+    @F.pandas_udf("k bigint, r int")
+    def keys(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, low in batches:
+            k = hilbert(project(texts.tolist())) << HASH_BITS | low.to_numpy()
+            yield pd.DataFrame({"k": k, "r": np.searchsorted(bounds, k, side="right").astype(np.int32)})
 
-    return keys(text)
+    return keys(text, mix)
 
 
 # --- the tokenizer -------------------------------------------------------------------------
@@ -301,8 +318,7 @@ def pack(docs: DataFrame, path: str, ranges: int | None = None, id_col: str = "d
     if ranges is None:
         size = rows.agg(F.sum(F.octet_length("t")).alias("b")).first()["b"] or 0
         ranges = max(width(spark), -(-size // RANGE_BYTES))
-    keyed = rows.withColumn("k", F.shiftleft(curve_key(F.col("t")), HASH_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64("i"), 64 - HASH_BITS)))
-    ranged = _in_ranges(keyed, ranges).repartitionById(ranges, "r").sortWithinPartitions("r", "k", "i")
+    ranged = _in_ranges(rows, ranges).repartitionById(ranges, "r").sortWithinPartitions("r", "k", "i")
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = tokenizer(path)
@@ -332,23 +348,19 @@ def pack(docs: DataFrame, path: str, ranges: int | None = None, id_col: str = "d
     return ranged.mapInPandas(fill, PIECES)
 
 
-def _in_ranges(keyed: DataFrame, ranges: int) -> DataFrame:
-    """``keyed`` with ``r``: how many of at most ``ranges - 1`` split points are at or below the row's key ``k``.
+def _in_ranges(rows: DataFrame, ranges: int) -> DataFrame:
+    """``rows`` (i, t) with the key ``k`` and the range ``r``, a number below ``ranges``.
 
-    The points are quantiles of all keys from a sketch (bounded memory in every task and at the driver), taken
+    Ranges are cut at quantiles of all keys from a sketch (bounded memory in every task and at the driver), taken
     once, so every job and retry agrees.
     """
-    points: list[int] = []
+    mix = F.shiftrightunsigned(F.xxhash64("i"), 64 - HASH_BITS)
+    bounds = np.zeros(0, np.int64)
     if ranges > 1:
         cuts = [n / ranges for n in range(1, ranges)]
-        points = sorted(set(keyed.agg(F.percentile_approx("k", cuts, 20 * ranges).alias("q")).first()["q"] or []))
-    bounds = np.array(points, np.int64)
-
-    @F.pandas_udf("int")
-    def number(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, k.to_numpy(), side="right").astype(np.int32))
-
-    return keyed.withColumn("r", number(F.col("k")))
+        keys = rows.select(curve_key(F.col("t"), mix, bounds).alias("at")).select("at.k")
+        bounds = np.unique(np.array(keys.agg(F.percentile_approx("k", cuts, 20 * ranges).alias("q")).first()["q"] or [], np.int64))
+    return rows.withColumn("at", curve_key(F.col("t"), mix, bounds)).select("i", "t", "at.k", "at.r")
 
 
 def default_tokenizer() -> str:

@@ -145,7 +145,8 @@ def features(codes: np.ndarray, others: np.ndarray = NONE) -> np.ndarray:
     row = np.arange(len(codes))[:, None]
     for number, weight in triples(codes, others):
         np.add.at(out, (np.broadcast_to(row, number.shape), number), weight)
-    return out / NORMS[(codes > 0).sum(1)][:, None]
+    out /= NORMS[(codes > 0).sum(1)][:, None]
+    return out
 
 
 class Machine:
@@ -273,8 +274,8 @@ def train(bags: Iterable[tuple[int, Iterable[str]]], seed: int = 9):
 
     def mapped(own: list[str]) -> np.ndarray:
         out = []
-        for at in range(0, len(own), 500):
-            codes = np.concatenate([encode([w[:WINDOW]])[0] for w in own[at:at + 500]])
+        for at in range(0, len(own), 100):
+            codes = np.concatenate([encode([w[:WINDOW]])[0] for w in own[at:at + 100]])
             out.append(features(codes, others) @ phi.T)
         return np.concatenate(out).astype(np.float64) @ whiten if out else np.zeros((0, whiten.shape[1]))
 
