@@ -1,9 +1,7 @@
-"""Durable pops on a queue table: a popped-up-to mark per queue and the depth left behind it.
+"""Durable pops of all queues of a queue table, on claims, and the depth left behind them.
 
-The queue table itself never changes when items are taken. A pop writes, for each queue, the
-FIFO key of its last item and how many it took; the items of a pop are the rows between two
-marks, so they can be read again. A pop is named by a number that only grows: repeating the
-same number returns the same items and takes nothing more.
+A pop is a claim of the next items of every queue (see ``claims``), named by a number that only grows: repeating
+the same number returns the same items and takes nothing more.
 """
 
 from __future__ import annotations
@@ -13,45 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.queue import FIFO_KEY, queue_pop
-from ..plans.joins import lookup_join
+from .claims import claim_all, has_totals, kept_depth, marks
+from .entries import newest_of_each
 from .queue_sink import path_exists, read_queue
 
-MARK_SCHEMA = "queue string, batch_id bigint, pos bigint, taken bigint, pop_id bigint"
-
-
-def marks(spark: SparkSession, log: str, before: int | None = None) -> DataFrame:
-    """(queue, mark, taken): the newest mark of each queue and all that it took so far, over the
-    pops below ``before`` (default: all)."""
-    if not path_exists(spark, log):
-        rows = spark.createDataFrame([], MARK_SCHEMA)
-    else:
-        rows = spark.read.schema(MARK_SCHEMA).parquet(log)
-    if before is not None:
-        rows = rows.where(F.col("pop_id") < before)
-    return rows.groupBy("queue").agg(F.max(F.struct(*FIFO_KEY)).alias("mark"), F.sum("taken").alias("taken"))
-
-
-def unpopped(spark: SparkSession, queue_path: str, log: str, before: int | None = None) -> DataFrame:
-    """Rows of the queue table behind their queue's mark. One mark a queue: looked up, not shuffled."""
-    rows = lookup_join(read_queue(spark, queue_path), marks(spark, log, before).select("queue", "mark"), ["queue"], "left", label="marks")
-    return rows.where(F.col("mark").isNull() | (F.struct(*FIFO_KEY) > F.col("mark"))).drop("mark")
-
 
 def pop(spark: SparkSession, queue_path: str, log: str, n: int, pop_id: int) -> DataFrame:
     """R20 with memory: the next ``n`` items of every queue, never given to another ``pop_id``."""
-    newest = spark.read.schema(MARK_SCHEMA).parquet(log).agg(F.max("pop_id")).first()[0] if path_exists(spark, log) else None
-    if newest is not None and pop_id < newest:
+    newest = max((int(c) for e in newest_of_each(spark, log) for c in e["claims"]), default=pop_id)
+    if pop_id < newest:
         raise ValueError(f"pop {pop_id} is older than the last pop {newest}")
-    if newest != pop_id:
-        taken = queue_pop(unpopped(spark, queue_path, log), n)
-        taken = (taken.groupBy("queue").agg(F.max(F.struct(*FIFO_KEY)).alias("mark"), F.count(F.lit(1)).alias("taken"))
-                 .select("queue", "mark.*", "taken", F.lit(pop_id).cast("bigint").alias("pop_id")))
-        taken.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("pop_id").parquet(log)
-    here = spark.read.schema(MARK_SCHEMA).parquet(log).where(F.col("pop_id") == pop_id)
-    upto = here.select("queue", F.struct(*FIFO_KEY).alias("upto"))
-    rows = lookup_join(unpopped(spark, queue_path, log, before=pop_id), upto, ["queue"], "inner", label="pop")
-    return rows.where(F.struct(*FIFO_KEY) <= F.col("upto")).drop("upto")
+    return claim_all(spark, queue_path, log, n, str(pop_id))
 
 
 def depths(spark: SparkSession, queue_path: str, log: str) -> DataFrame:
@@ -62,9 +32,13 @@ def depths(spark: SparkSession, queue_path: str, log: str) -> DataFrame:
 
 
 def depth_probe(spark: SparkSession, queue_path: str, log: str) -> Callable[[str], int]:
-    """Gate probe: items of one queue that are not popped yet (0 before the first write)."""
+    """Gate probe: items of one queue that are not popped yet (0 before the first write).
+
+    Read from the kept totals; only a table that the relay did not write, which has none, is counted."""
 
     def probe(queue: str) -> int:
+        if has_totals(spark, queue_path):
+            return kept_depth(spark, queue_path, log, queue)
         if not path_exists(spark, queue_path):
             return 0
         row = depths(spark, queue_path, log).where(F.col("queue") == queue).first()

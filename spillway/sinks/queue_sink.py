@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.queue import QUEUE_COLUMNS
+from .entries import Entries
 
 QUEUE_SCHEMA = T.StructType([
     T.StructField("queue", T.StringType()),
@@ -68,10 +69,21 @@ def claim_writers(spark: SparkSession, path: str, writers: dict[str, str]) -> No
         spark.createDataFrame(new, "topic string, writer string").coalesce(1).write.mode("append").json(log)
 
 
+def manifest_of(path: str) -> str:
+    return f"{path}-manifest"
+
+
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema(QUEUE_SCHEMA).parquet(path)  # inferred folder types would turn queue 007 into 7
-    return df.select("queue", "pos", "payload", "topic", "partition", "offset",
-                     F.col("batch_id").cast("bigint").alias("batch_id"))
+    """The queue table: the base that the newest manifest entry names and the batches behind it (all of them without an entry)."""
+    rows = spark.read.schema(QUEUE_SCHEMA).parquet(path)  # inferred folder types would turn queue 007 into 7
+    rows = rows.select(*QUEUE_COLUMNS[:-1], F.col("batch_id").cast("bigint").alias("batch_id"))
+    _, entry = Entries(spark, manifest_of(path)).newest()
+    if not entry:
+        return rows
+    upto = spark.createDataFrame(list(entry["upto"].items()), "queue string, _upto bigint")
+    tail = rows.join(F.broadcast(upto), "queue", "left").where(F.col("_upto").isNull() | (F.col("batch_id") > F.col("_upto")))  # one row a queue
+    base = spark.read.schema(QUEUE_SCHEMA).parquet(entry["base"])
+    return base.select(*QUEUE_COLUMNS).unionByName(tail.select(*QUEUE_COLUMNS))
 
 
 def with_retry(write: Callable[[], None], attempts: int, delay_s: float,

@@ -16,13 +16,15 @@ import hashlib
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.queue import QUEUE_COLUMNS, route, with_positions
-from ..operators.routing import valid_records
+from ..operators.queue import route, with_positions
+from ..operators.routing import rejected_records, valid_records
 from ..options import RelayOptions
 from ..session import scratch_path
+from ..sinks.claims import record_pushes
+from ..sinks.entries import Entries, folder_of, newest_of_each
 from ..sinks.queue_sink import claim_writers, path_exists, read_queue, with_retry, write_queue
 from .source import file_stream, stage_files, stream_partitions
 
@@ -52,34 +54,62 @@ def batch_writer(path: str, options: RelayOptions, topics: tuple[str, ...],
                  fault: Callable[[int, int], None] | None = None,
                  retries: list | None = None, counters: str | None = None):
     """``foreachBatch`` function: gate wait for every queue of the group, then
-    an idempotent queue write. Records without a topic are rejected and
-    counted. ``counters``: a table with one row per (writer, batch), also
-    overwritten by a replay."""
+    an idempotent queue write. Records without a topic are counted and go, with the
+    reason, to the table ``<path>-rejected``. The kept totals of the queues and the writer's
+    ``counters`` are replaced by a replay."""
     queues = [options.queue_of(t) for t in topics]
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         if probe is not None:
             for queue in queues:  # a group waits for its fullest queue
                 wait_until_open(queue, probe, options.cache_size, options.controller_time_s)
-        rows = with_positions(route(valid_records(batch), options.prefix_redis, batch_id=batch_id),
-                              chunked=False).select(*QUEUE_COLUMNS)
-        tries = {"n": 0}
+        tries = {"n": 0, "row": None}
 
         def attempt() -> None:
             tries["n"] += 1
             if fault is not None:
                 fault(batch_id, tries["n"])
+            seen = Observation()  # counted while the rows are written: the batch is read once
+            own = [F.count_if(F.col("topic") == t).alias(f"n{i}") for i, t in enumerate(topics)]
+            watched = batch.observe(seen, *_batch_counts(), *own)
+            rows = with_positions(route(valid_records(watched), options.prefix_redis, batch_id=batch_id), chunked=False)
             write_queue(rows, path, clustered=True)  # one batch, clustered by queue
+            try:
+                tries["row"] = seen.get
+            except Exception:  # noqa: BLE001 - with no row to write, adaptive execution drops the branch and its counters
+                tries["row"] = batch.agg(*_batch_counts(), *own).first().asDict()
 
         used = with_retry(attempt, options.sink_max_attempts, options.sink_retry_delay_s)
+        counted = tries["row"]
+        if counted["rejected"]:
+            write_rejected(batch, "+".join(topics), batch_id, rejected_of(path))
+        record_pushes(spark, path, [(q, batch_id, counted[f"n{i}"]) for i, q in enumerate(queues)])
         if counters is not None:
-            write_counters(batch, "+".join(topics), batch_id, counters)
+            _put_counters(spark, counted, "+".join(topics), batch_id, counters)
         if retries is not None:
             retries.append((",".join(topics), batch_id, used))
 
     return write
 
 
+def rejected_of(path: str) -> str:
+    return f"{path}-rejected"
+
+
+def write_rejected(batch: DataFrame, writer: str, batch_id: int, path: str) -> None:
+    """R11 on a stream: the batch's rejected records with their reason, replaced when the batch is replayed."""
+    rows = rejected_records(batch).select("topic", "partition", "offset", "timestamp", "value", "reason")
+    (rows.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("writer", "batch_id").parquet(path))
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The records that the relay into the queue table ``path`` has rejected."""
+    folder = rejected_of(path)
+    return spark.read.schema(REJECTED).parquet(folder) if path_exists(spark, folder) else spark.createDataFrame([], REJECTED)
+
+
 def _stable_id(text: str) -> str:
     """Same id in every process (checkpoint folders must survive restarts)."""
     return hashlib.sha1(text.encode()).hexdigest()[:16]
@@ -139,26 +169,34 @@ def observe_relay(stream: DataFrame, topic: str) -> DataFrame:
                           F.max("offset").alias("last_offset"))
 
 
-COUNTER_SCHEMA = "seen bigint, rejected bigint, last_offset bigint, writer string, batch_id bigint"
+REJECTED = ("topic string, partition int, offset bigint, timestamp timestamp_ntz, value string, reason string, "
+            "writer string, batch_id bigint")
+
+
+def _batch_counts() -> list:
+    return [F.count(F.lit(1)).alias("seen"), F.count_if(F.col("topic").isNull()).alias("rejected"),
+            F.max(F.when(F.col("topic").isNotNull(), F.col("offset"))).cast("bigint").alias("last_offset")]
 
 
 def write_counters(batch: DataFrame, writer: str, batch_id: int, path: str) -> None:
-    """R31 on a stream, kept: one row for each (writer, batch); a replayed batch replaces its row."""
-    row = batch.agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col("topic").isNull()).alias("rejected"),
-                    F.max(F.when(F.col("topic").isNotNull(), F.col("offset"))).cast("bigint").alias("last_offset"))
-    (row.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("writer", "batch_id").parquet(path))
+    """R31 on a stream, kept: the totals of a writer after each batch; a replayed batch replaces its own."""
+    _put_counters(batch.sparkSession, batch.agg(*_batch_counts()).first().asDict(), writer, batch_id, path)
+
+
+def _put_counters(spark: SparkSession, counted: dict, writer: str, batch_id: int, path: str) -> None:
+    entries = Entries(spark, f"{path}/{folder_of(writer)}")
+    before = entries.newest(below=batch_id)[1]
+    last = [x for x in (before.get("last_offset"), counted["last_offset"]) if x is not None]
+    entries.put(batch_id, {"writer": writer, "seen": before.get("seen", 0) + counted["seen"],
+                           "rejected": before.get("rejected", 0) + counted["rejected"],
+                           "batches": before.get("batches", 0) + 1, "last_offset": max(last, default=None)}, replace=True)
 
 
 def relay_metrics(spark: SparkSession, path: str) -> dict[str, dict[str, int]]:
-    """Counters of every writer summed over all its batches (one row a writer)."""
-    if not path_exists(spark, path):
-        return {}
-    rows = spark.read.schema(COUNTER_SCHEMA).parquet(path).groupBy("writer").agg(
-        F.sum("seen").alias("seen"), F.sum("rejected").alias("rejected"), F.count(F.lit(1)).alias("batches"),
-        F.coalesce(F.max("last_offset"), F.lit(-1)).alias("last_offset"))
-    return {r.writer: {"seen": r.seen, "rejected": r.rejected, "pushed": r.seen - r.rejected,
-                       "last_offset": r.last_offset, "batches": r.batches} for r in rows.collect()}
+    """Counters of every writer over all its batches."""
+    return {e["writer"]: {"seen": e["seen"], "rejected": e["rejected"], "pushed": e["seen"] - e["rejected"],
+                          "last_offset": -1 if e["last_offset"] is None else e["last_offset"], "batches": e["batches"]}
+            for e in newest_of_each(spark, path)}
 
 
 def staged_topics(spark: SparkSession, staged: str) -> tuple[str, ...]:
