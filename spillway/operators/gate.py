@@ -7,13 +7,12 @@ open. Messages of a closed topic are deferred (left in the source), never droppe
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ticks import tick_end, tick_number
 from ..plans.joins import lookup_join
-from ..session import pin
-from .scan import previous_value, running_sum
+from .scan import previous_value
 
 SLOT_SECONDS = 3600  # width of the join slots; results do not depend on it
 
@@ -45,21 +44,20 @@ def gate_transitions(state: DataFrame) -> DataFrame:
 def gate_slots(messages: DataFrame, state: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
     """(topic, slot, samples, carried): for every slot with messages or samples, the samples in
     it and the state carried in from the topic's last earlier sample (NULL: none). One row per
-    active (topic, slot); a row holds the samples of one slot only."""
-    slot = tick_number(F.col("tick"), slot_seconds).alias("slot")
+    active (topic, slot); a row holds the samples of one slot only.
+
+    Both sides are reduced to slots before they meet; a topic has at most one row a slot of its time span, over
+    which one window carries the last state forward."""
     sample = F.struct("tick", (~F.col("is_open")).alias("closed"))  # of equal ticks, closed counts
-    samples = pin(state.where("topic IS NOT NULL AND tick IS NOT NULL").groupBy("topic", slot)
-                  .agg(F.collect_set(sample).alias("samples")), "gate-samples")
-    active = messages.select("topic", tick_number(F.col("timestamp"), slot_seconds).alias("slot"), F.lit(0).alias("has"))
-    marks = (active.where("topic IS NOT NULL AND slot IS NOT NULL").distinct()
-             .unionByName(samples.select("topic", "slot", F.lit(1).alias("has")))
-             .groupBy("topic", "slot").agg(F.max("has").alias("has")))
-    # sampled slots counted so far: equal counts share the last sampled slot
-    counted = pin(running_sum(marks, ["topic"], ["slot"], F.col("has"), "n"), "gate-slots")
-    last = (counted.where("has = 1").join(samples, ["topic", "slot"])
-            .select("topic", F.col("n").alias("from"), (~F.array_max("samples")["closed"]).alias("carried")))
-    return (counted.withColumn("from", F.col("n") - F.col("has")).join(last, ["topic", "from"], "left")
-            .join(samples, ["topic", "slot"], "left").select("topic", "slot", "samples", "carried"))
+    samples = (state.where("topic IS NOT NULL AND tick IS NOT NULL").groupBy("topic", tick_number(F.col("tick"), slot_seconds).alias("slot"))
+               .agg(F.collect_set(sample).alias("samples")))
+    active = messages.select("topic", tick_number(F.col("timestamp"), slot_seconds).alias("slot"))
+    active = active.where("topic IS NOT NULL AND slot IS NOT NULL").distinct()
+    slots = (active.withColumn("samples", F.lit(None).cast(samples.schema["samples"].dataType)).unionByName(samples)
+             .groupBy("topic", "slot").agg(F.max("samples").alias("samples")))
+    earlier = Window.partitionBy("topic").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.last(~F.array_max("samples")["closed"], ignorenulls=True).over(earlier)
+    return slots.withColumn("carried", carried)
 
 
 def with_gate(messages: DataFrame, state: DataFrame, slot_seconds: int = SLOT_SECONDS) -> DataFrame:

@@ -33,6 +33,7 @@ LAG_TICK_S = 10
 GATE_TICK_S = 1800
 NO_TOPIC_LANG = "es"  # documents in it arrive without a topic
 BATCH_SEQ = 1000  # messages per relay batch (seq // BATCH_SEQ)
+CLAIM_BATCH_SEQ = 20_000  # the same for the tables that workers claim from
 EARLY_CUT = dt.datetime(2024, 1, 1, 2)  # position snapshot for offset text
 OLD_LAG_CUT = dt.datetime(2024, 1, 20)  # lag table version 1
 NEW_LAG_FROM = dt.datetime(2024, 1, 30, 23, 30)  # topics touched by version 2
@@ -74,6 +75,45 @@ def queue_append(spark, sf):
     return read_queue(spark, path)
 
 
+def _queue_table(spark, sf):
+    """A queue table of many batches, with its totals, as the relay leaves it: (path, claim log)."""
+    from ..session import scratch_path
+    from ..sinks.claims import record_table
+    from ..sinks.queue_sink import read_queue, write_queue
+    routed = q.route(_messages(spark, sf), OPTIONS.prefix_redis, batch_id=F.floor(F.col("seq") / CLAIM_BATCH_SEQ))
+    path = scratch_path(spark, "claimed-queue")
+    write_queue(q.with_positions(routed), path)
+    record_table(spark, path, read_queue(spark, path))
+    return path, f"{path}-claims"
+
+
+def queue_claim(spark, sf):
+    """Two workers claim items of every queue in turn; the first repeats its claim, which takes nothing more."""
+    from ..sinks.claims import claim_all
+    path, log = _queue_table(spark, sf)
+    one, two, _ = (claim_all(spark, path, log, POP_N, worker) for worker in ("one", "two", "one"))
+    return one.withColumn("worker", F.lit("one")).unionByName(two.withColumn("worker", F.lit("two")))
+
+
+def queue_depth_kept(spark, sf):
+    from ..sinks.claims import claim_all, kept_depths
+    path, log = _queue_table(spark, sf)
+    for worker in ("one", "two"):
+        claim_all(spark, path, log, POP_N, worker)
+    return kept_depths(spark, path, log)
+
+
+def queue_compacted(spark, sf):
+    """What is left in the queues, read through a compaction: merged batches without what was taken, then the newest batches."""
+    from ..sinks.claims import claim_all, unclaimed
+    from ..sinks.compaction import compact
+    path, log = _queue_table(spark, sf)
+    for k in range(2):
+        claim_all(spark, path, log, POP_N, f"claim-{k}")
+        compact(spark, path, log, keep_batches=3 - k)
+    return unclaimed(spark, path, log)
+
+
 def lag_table_upsert(spark, sf):
     from ..sinks.lag_sink import LagTable
     msgs = _offsets(spark, sf)
@@ -308,6 +348,9 @@ QUERIES: dict[str, Query] = {
     "stream_source": stream_source,
     "ledger_all": ledger_all,
     "queue_append": queue_append,
+    "queue_claim": queue_claim,
+    "queue_depth_kept": queue_depth_kept,
+    "queue_compacted": queue_compacted,
     "lag_table_upsert": lag_table_upsert,
     # projections and scalar functions
     "msg_projection": msg_projection,

@@ -8,7 +8,13 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import CONF_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS, conf_int, pin
+from ..session import (CONF_BROADCAST_BYTES, CONF_BROADCAST_ROWS, DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, conf_int,
+                       pin)
+
+
+def pinned_bytes(df: DataFrame) -> int:
+    """Bytes of a pinned table's files, from the optimizer's statistics (no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
@@ -16,14 +22,15 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     """Join ``big`` with a derived lookup table ``small``.
 
     ``small`` is pinned in the shared folder (computed once, lineage cut) and
-    counted; it is broadcast only when its row count is within
-    ``spillway.broadcast.maxRows``, otherwise the join is left to a shuffle
+    counted; it is broadcast only when its rows are within
+    ``spillway.broadcast.maxRows`` and the bytes of its files within
+    ``spillway.broadcast.maxBytes``, otherwise the join is left to a shuffle
     join on the keys (AQE may still pick broadcast at run time). With
     ``null_safe`` a NULL key matches a NULL key (``<=>``), as in grouping.
     """
     small = pin(small, label)
     limit = conf_int(big.sparkSession, CONF_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS)
-    broadcast = small.count() <= limit
+    broadcast = pinned_bytes(small) <= conf_int(big.sparkSession, CONF_BROADCAST_BYTES, DEFAULT_BROADCAST_BYTES) and small.count() <= limit
     if not null_safe:
         return big.join(F.broadcast(small) if broadcast else small, on, how)
     keyed = small.select(*[F.col(c).alias(f"_key_{c}") if c in on else F.col(c)

@@ -58,6 +58,12 @@ RELAY = """relay AS (
          payload, topic, "partition", "offset", CAST(0 AS BIGINT) AS batch_id, seq
   FROM routed)"""
 
+# A queue table of batches of 20,000 sequence numbers, and the place of each item in its queue.
+PLACED = """placed AS (
+  SELECT *, row_number() OVER (PARTITION BY queue ORDER BY batch_id, pos) AS place
+  FROM (SELECT queue, pos, payload, topic, "partition", "offset", CAST(floor(seq / 20000) AS BIGINT) AS batch_id FROM relay))"""
+QUEUE_COLS = 'queue, pos, payload, topic, "partition", "offset", batch_id'
+
 GATE = """gate AS (
   SELECT topic, time_bucket(INTERVAL 30 MINUTE, "timestamp", TIMESTAMP '1970-01-01') + INTERVAL 30 MINUTE AS tick,
          CAST(count(*) AS BIGINT) AS len, count(*) <= 2 AS is_open
@@ -116,6 +122,12 @@ SELECT queue,
             - 1 AS BIGINT) AS pos,
        payload, topic, "partition", "offset", CAST(floor(seq / 1000) AS BIGINT) AS batch_id
 FROM routed""",
+    "queue_claim": _with(MESSAGES, ROUTED, RELAY, PLACED)
+    + f"SELECT {QUEUE_COLS}, CASE WHEN place <= 5 THEN 'one' ELSE 'two' END AS worker FROM placed WHERE place <= 10",
+    "queue_depth_kept": _with(MESSAGES) + """
+SELECT 'queues:' || topic AS queue, count(*) AS pushed, least(10, count(*)) AS taken, count(*) - least(10, count(*)) AS depth
+FROM messages GROUP BY topic""",
+    "queue_compacted": _with(MESSAGES, ROUTED, RELAY, PLACED) + f"SELECT {QUEUE_COLS} FROM placed WHERE place > 10",
     "lag_table_upsert": _with(MESSAGES, LEDGER) + """,
 old_latest AS (
   SELECT role, topic, "partition", max_by("offset", seq) AS "offset"

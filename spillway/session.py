@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 CONF_GROUP_ROWS = "spillway.scan.maxGroupRows"  # above: skew-safe chunked scans
 CONF_SCAN_CHUNKS = "spillway.scan.chunks"  # range chunks of a chunked scan
 CONF_BROADCAST_ROWS = "spillway.broadcast.maxRows"  # size check before broadcast
+CONF_BROADCAST_BYTES = "spillway.broadcast.maxBytes"  # and of the small side's files
 
 DEFAULT_GROUP_ROWS = 2_000_000
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str | None = None, app: str = "spillway",

@@ -115,6 +115,12 @@ def marks(spark: SparkSession, log: str) -> DataFrame:
     return spark.createDataFrame(rows, MARKS)
 
 
+def unclaimed(spark: SparkSession, path: str, log: str) -> DataFrame:
+    """Items that no claim has taken. One mark a queue: looked up, not shuffled."""
+    rows = lookup_join(read_queue(spark, path), marks(spark, log).select("queue", "mark"), ["queue"], "left", label="marks")
+    return rows.where(F.col("mark").isNull() | (F.struct(*FIFO_KEY) > F.col("mark"))).drop("mark")
+
+
 def oldest_kept(spark: SparkSession, log: str) -> dict[str, list[int]]:
     """Per queue the key up to which no kept claim can be repeated: rows at or before it are never read again."""
     out = {}
@@ -140,6 +146,12 @@ def record_pushes(spark: SparkSession, path: str, counts: Iterable[tuple[str, in
         entries.put(batch_id, {"queue": queue, "batch_id": batch_id, "n": n, "pushed": before + n}, replace=True)
 
 
+def record_table(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Totals of a queue table that was written at once: one entry a queue, under its last batch."""
+    counts = rows.groupBy("queue").agg(F.max("batch_id").alias("b"), F.count(F.lit(1)).alias("n")).collect()  # one row a queue
+    record_pushes(spark, path, [(r["queue"], r["b"], r["n"]) for r in counts])
+
+
 def kept_depth(spark: SparkSession, path: str, log: str, queue: str) -> int:
     """Items of one queue that no claim has taken: two small files, however old the table is."""
     pushed = Entries(spark, f"{pushes_of(path)}/{folder_of(queue)}").newest()[1].get("pushed", 0)
