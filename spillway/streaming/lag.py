@@ -1,69 +1,91 @@
-"""Streaming lag (R28): continuously maintained ledger -> topic lag table.
+"""Streaming lag (R28): positions of both roles -> lag of each touched topic.
 
-The stateful part is Spark's own streaming aggregation: ``max_by`` per
-(role, topic, partition) in update mode, so the state holds one row per
-partition and role, however many messages arrive. Every micro-batch publishes
-the updated keys to a ledger log and recomputes lag for the touched topics
-into the latest-wins lag table (R04).
+One stateful operator per query, keyed by topic. Its state, a map (role, partition) -> (offset, seq), holds one entry
+for each partition and role, however many messages arrive, and lives in Spark's checkpointed state store alone. Every
+micro-batch brings the newest position of each of its keys into the map and emits the lag of the topics it touched;
+these rows are all that is written, into the latest-wins lag table (R04).
+
+Positions are reduced to the newest of each key in every Arrow batch before they are shuffled, so a hot topic sends
+its task a few rows for each batch read and not its messages.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.ledger import KEY, topic_lag
+from ..operators.ledger import KEY
 from ..session import scratch_path
 from ..sinks.lag_sink import LagTable
 from ..sources.messages import FORMAL_CUT, ledger
 from .source import file_stream, stage_files, stream_partitions
 
+POSITIONS = "role string, topic string, partition int, offset bigint, seq bigint"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _newest(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of each key the row with the highest seq (rows without a topic, offset or seq have no position)."""
+    rows = rows.dropna(subset=["role", "topic", "partition", "offset", "seq"])
+    return rows.sort_values(["seq", "offset"], kind="stable").drop_duplicates(KEY, keep="last")
+
+
+def reduce_positions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield _newest(batch)
+
+
+class TopicLag(StatefulProcessor):
+    """Last write wins by ``seq`` for each (role, partition); the lag is clamped after the sum over partitions."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getMapState("last", "role string, partition int", "offset bigint, seq bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
+        known = {tuple(k): tuple(v) for k, v in self.last.iterator()}
+        newest = _newest(pd.concat(list(rows)))
+        for role, partition, offset, seq in zip(newest["role"], newest["partition"], newest["offset"], newest["seq"]):
+            place, value = (role, int(partition)), (int(offset), int(seq))
+            if place not in known or known[place][1] <= value[1]:
+                known[place] = value
+                self.last.updateValue(place, value)
+        lag = sum(offset if role == "all" else -offset for (role, _), (offset, _) in known.items())
+        yield pd.DataFrame({"topic": [key[0]], "lag": [max(0, lag)]})
+
+    def close(self) -> None:
+        pass
+
+
+def lag_updates(positions: DataFrame) -> DataFrame:
+    """(topic, lag) of the topics that each micro-batch of ``positions`` (POSITIONS) touches."""
+    few = positions.select(*[c.split()[0] for c in POSITIONS.split(", ")]).mapInPandas(reduce_positions, POSITIONS)
+    return few.groupBy("topic").transformWithStateInPandas(
+        statefulProcessor=TopicLag(), outputStructType="topic string, lag bigint", outputMode="Update", timeMode="None")
+
+
+@contextmanager
+def map_state(spark: SparkSession):
+    """Start streaming queries with the RocksDB state store, which map state needs; the session's own setting comes back."""
+    old = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, old)
+
 
-def latest_stream(stream: DataFrame) -> DataFrame:
-    """Ledger roles from a message stream, reduced to the latest offset."""
-    return (ledger(stream).groupBy(*KEY)
-            .agg(F.max_by(F.struct("offset", "seq"), "seq").alias("last"))
-            .select(*KEY, "last.offset", "last.seq"))
-
-
-def _versions(spark, path: str) -> list[int]:
-    """Batch ids with a written state version (folder listing, no job)."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
-
-
-def _state(spark, path: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/batch_id={version}")
-
-
-def publish_batch(state_path: str, lag_table: LagTable):
-    """Merge the batch's updated keys into the compacted state (at most one
-    row per role and partition), store it as this batch's version (a replay
-    overwrites the same version) and publish lag for the touched topics."""
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        updated = batch.select(*KEY, "offset", "seq")  # at most one row per key
-        older = [v for v in _versions(spark, state_path) if v < batch_id]
-        prev = _state(spark, state_path, older[-1]) if older else None
-        merged = updated if prev is None else prev.unionByName(updated)
-        state = (merged.groupBy(*KEY)
-                 .agg(F.max_by(F.struct("offset", "seq"), "seq").alias("s"))
-                 .select(*KEY, "s.offset", "s.seq"))
-        # The micro-batch runs once, here; everything after reads small tables.
-        state.write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
-        current = _state(spark, state_path, batch_id)
-        changed = current if prev is None else current.join(
-            prev, [*KEY, "offset", "seq"], "left_anti")
-        touched = changed.select("topic").distinct()
-        lag_table.upsert(topic_lag(current).join(touched, "topic", "left_semi"),
-                         version=batch_id)
-
-    return publish
+def start_updates(positions: DataFrame, table: LagTable, checkpoint: str, trigger: dict):
+    """Keeps ``table`` current from a stream of positions; a replayed batch writes the same rows again."""
+    spark = positions.sparkSession
+    with stream_partitions(spark), map_state(spark):
+        return (lag_updates(positions).writeStream.outputMode("update")
+                .foreachBatch(lambda batch, batch_id: table.upsert(batch, version=batch_id))
+                .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
 def lag_stream(spark: SparkSession, messages: DataFrame, files: int = 4,
@@ -71,11 +93,6 @@ def lag_stream(spark: SparkSession, messages: DataFrame, files: int = 4,
     """R28 drained: returns the lag table after all staged messages."""
     staged = stage_files(messages, files=files)
     table = LagTable(spark)
-    state_path = scratch_path(spark, "ledger-state")
-    with stream_partitions(spark):
-        q = (latest_stream(file_stream(spark, staged)).writeStream.outputMode("update")
-             .foreachBatch(publish_batch(state_path, table))
-             .option("checkpointLocation", scratch_path(spark, "lag-ckpt"))
-             .trigger(availableNow=True).start())
-    q.awaitTermination()
+    positions = ledger(file_stream(spark, staged)).select(*KEY, F.col("offset"), F.col("seq"))
+    start_updates(positions, table, scratch_path(spark, "lag-ckpt"), {"availableNow": True}).awaitTermination()
     return table.read().select("topic", "lag")

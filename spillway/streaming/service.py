@@ -14,12 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ledger import KEY
 from ..options import RelayOptions
 from ..sinks.lag_sink import LagTable
 from ..sinks.pop_log import depth_probe
 from ..sinks.queue_sink import QUEUE_SCHEMA, claim_writers
-from .lag import publish_batch
+from .lag import start_updates
 from .relay import DepthProbe, _stable_id, batch_writer, observe_relay, topic_groups
 from .source import positions_stream, stream_partitions, topic_stream
 
@@ -70,20 +69,13 @@ def consumed_stream(spark: SparkSession, queue_path: str) -> DataFrame:
 
 
 def start_lag(spark: SparkSession, options: RelayOptions, all_positions: DataFrame | None,
-              consumed: DataFrame, table: LagTable, state_path: str, checkpoint: str,
+              consumed: DataFrame, table: LagTable, state_path: str | None, checkpoint: str,
               drain: bool = False) -> StreamingQuery:
-    """Streaming ``max_by`` per (role, topic, partition) over both roles;
-    every trigger (``topic_len_to_cache_time_s``) publishes the lag of the
-    touched topics into ``table``."""
+    """The newest position per (role, topic, partition) over both roles; every trigger
+    (``topic_len_to_cache_time_s``) publishes the lag of the touched topics into ``table``.
+    The state is in ``checkpoint``; ``state_path`` is not used any more."""
     every = all_positions if all_positions is not None else positions_stream(spark, options)
     roles = (every.select(F.lit("all").alias("role"), "topic", "partition", "offset", "seq")
              .unionByName(consumed.select(F.lit("formal").alias("role"), "topic", "partition",
                                           "offset", "seq")))
-    latest = (roles.groupBy(*KEY).agg(F.max_by(F.struct("offset", "seq"), "seq").alias("last"))
-              .select(*KEY, "last.offset", "last.seq"))
-    with stream_partitions(spark):
-        return (latest.writeStream.outputMode("update")
-                .foreachBatch(publish_batch(state_path, table))
-                .option("checkpointLocation", checkpoint)
-                .trigger(**_trigger(None if drain else options.topic_len_to_cache_time_s))
-                .start())
+    return start_updates(roles, table, checkpoint, _trigger(None if drain else options.topic_len_to_cache_time_s))
