@@ -27,6 +27,7 @@ DIMS, BITS = 4, 8
 MEMO = 400_000  # words whose ids a worker remembers
 SEQUENCES_A_RANGE = 1 << 33
 HASH_BITS = 30  # of the hashed id, beside the curve key, when ranges are cut
+WEIGHT = 2048  # bytes of text for which a key counts once more when ranges are cut
 RANGE_BYTES = 64 << 20  # text of a range, above which more ranges are cut
 PIECE = 1 << 20  # bytes projected, or new words merged, at once
 TEXTS = 512  # texts tokenized at once
@@ -352,13 +353,15 @@ def _in_ranges(rows: DataFrame, ranges: int) -> DataFrame:
     """``rows`` (i, t) with the key ``k`` and the range ``r``, a number below ``ranges``.
 
     Ranges are cut at quantiles of all keys from a sketch (bounded memory in every task and at the driver), taken
-    once, so every job and retry agrees.
+    once, so every job and retry agrees. A key counts once for every WEIGHT bytes of its text, so that ranges
+    hold about as many bytes: long texts lie together at the rim of the grid.
     """
     mix = F.shiftrightunsigned(F.xxhash64("i"), 64 - HASH_BITS)
     bounds = np.zeros(0, np.int64)
     if ranges > 1:
         cuts = [n / ranges for n in range(1, ranges)]
-        keys = rows.select(curve_key(F.col("t"), mix, bounds).alias("at")).select("at.k")
+        weight = (F.coalesce(F.octet_length("t"), F.lit(0)) / WEIGHT).cast("int") + 1
+        keys = rows.select(curve_key(F.col("t"), mix, bounds).alias("at"), weight.alias("n")).select(F.explode(F.array_repeat("at.k", F.col("n"))).alias("k"))
         bounds = np.unique(np.array(keys.agg(F.percentile_approx("k", cuts, 20 * ranges).alias("q")).first()["q"] or [], np.int64))
     return rows.withColumn("at", curve_key(F.col("t"), mix, bounds)).select("i", "t", "at.k", "at.r")
 
