@@ -17,7 +17,7 @@ from ..functions.ledger_keys import (key_is_ledger, key_partition, key_role_is_a
 from ..operators import gate, gauge, ledger as led, queue as q, routing
 from ..operators.scan import row_index
 from ..options import RelayOptions
-from ..sources.messages import document_payloads, ledger, load_messages
+from ..sources.messages import MESSAGE_SCHEMA, document_payloads, ledger, load_messages
 from ..sources.tables import table
 
 # Fixed test parameters (kept identical in the oracle SQL).
@@ -131,6 +131,37 @@ def stream_source(spark, sf):
     return drain_messages(spark, _messages(spark, sf))
 
 
+def log_source(spark, sf):
+    """Messages in two appends to a topic log, each drained by a stream that goes on from its checkpoint."""
+    from ..session import scratch_path
+    from ..sources.messages import FORMAL_CUT
+    from ..streaming.topic_log import append_log, copy_log
+    log, sink, checkpoint = (scratch_path(spark, f"log-{x}") for x in ("topics", "copy", "ckpt"))
+    msgs = _messages(spark, sf)
+    early = F.col("timestamp") < F.lit(FORMAL_CUT).cast("timestamp_ntz")
+    for part in (msgs.where(early), msgs.where(~early)):
+        append_log(part, log)
+        copy_log(spark, log, sink, checkpoint, max_records=OPTIONS.max_records_per_trigger)
+    return spark.read.schema(MESSAGE_SCHEMA).parquet(sink)
+
+
+def log_rewind(spark, sf):
+    """A topic log read to its end, moved back to the committed positions and read again: what each epoch read."""
+    from ..session import scratch_path
+    from ..streaming.source import OFFSET_BITS
+    from ..streaming.topic_log import append_log, copy_log, rewind
+    log, sink, checkpoint = (scratch_path(spark, f"rewind-{x}") for x in ("topics", "copy", "ckpt"))
+    msgs = _messages(spark, sf)
+    append_log(msgs, log)
+    copy_log(spark, log, sink, checkpoint, payload=False)
+    rewind(spark, log, led.committed_position(msgs, ledger(msgs)))
+    copy_log(spark, log, sink, checkpoint, payload=False)
+    read = spark.read.schema(MESSAGE_SCHEMA).parquet(sink)
+    return (read.groupBy("topic", "partition", F.shiftright("seq", OFFSET_BITS).alias("epoch"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+                 F.max_by("offset", "seq").alias("latest_offset")))
+
+
 # ------------------------------------------------------------- projections
 
 def msg_projection(spark, sf):
@@ -346,6 +377,8 @@ def relay_counts_q(spark, sf):
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "stream_source": stream_source,
+    "log_source": log_source,
+    "log_rewind": log_rewind,
     "ledger_all": ledger_all,
     "queue_append": queue_append,
     "queue_claim": queue_claim,

@@ -114,6 +114,17 @@ folded AS (
 
 SQL: dict[str, str] = {
     "stream_source": _with(MESSAGES) + f"SELECT {MSG_COLS} FROM messages",
+    "log_source": _with(MESSAGES)
+    + 'SELECT topic, "partition", "offset", "timestamp", value, "offset" AS seq FROM messages',
+    "log_rewind": _with(MESSAGES, LEDGER, NEXT_POS, """readings AS (
+  SELECT topic, "partition", "offset", CAST(0 AS BIGINT) AS epoch FROM messages
+  UNION ALL
+  SELECT m.topic, m."partition", m."offset", CAST(1 AS BIGINT) AS epoch
+  FROM messages m LEFT JOIN nextpos n ON n.topic = m.topic AND n."partition" = m."partition"
+  WHERE m."offset" >= coalesce(n.next_offset, 0))""") + """
+SELECT topic, "partition", epoch, count(*) AS n, min("offset") AS first_offset, max("offset") AS last_offset,
+       max("offset") AS latest_offset
+FROM readings GROUP BY topic, "partition", epoch""",
     "ledger_all": _with(MESSAGES, LEDGER)
     + "SELECT role, topic, \"partition\", \"offset\", seq FROM ledger WHERE role = 'all'",
     "queue_append": _with(MESSAGES, ROUTED) + """

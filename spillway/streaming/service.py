@@ -30,9 +30,11 @@ def _trigger(seconds: float | None) -> dict:
 def start_relay(spark: SparkSession, options: RelayOptions, queue_path: str,
                 checkpoint_root: str, probe: DepthProbe | None = None,
                 topics_per_query: int = 1, source=None, gated: bool = True,
-                pop_log: str | None = None) -> list[StreamingQuery]:
+                pop_log: str | None = None, once: bool | None = None) -> list[StreamingQuery]:
     """One query per topic group from the topic source (``source(topics)``
-    defaults to the Kafka source), triggered every ``controller_time_s``.
+    defaults to the Kafka source), triggered every ``controller_time_s``;
+    ``once`` (the default with a ``source``) drains what is there and ends. With
+    a topic log such a run takes one trigger's records; ``once=False`` goes on.
 
     Every batch waits until its queues hold at most ``cache_size`` items. The
     default probe counts what is pushed to the queue table and not yet popped
@@ -41,6 +43,7 @@ def start_relay(spark: SparkSession, options: RelayOptions, queue_path: str,
     make = source or (lambda topics: topic_stream(spark, options, topics))
     if gated and probe is None:
         probe = depth_probe(spark, queue_path, pop_log or f"{queue_path}-pops")
+    once = source is not None if once is None else once
     queries = []
     groups = topic_groups(tuple(options.topics), topics_per_query)
     claim_writers(spark, queue_path, {t: f"{checkpoint_root}/{_stable_id('+'.join(g))}" for g in groups for t in g})
@@ -51,7 +54,7 @@ def start_relay(spark: SparkSession, options: RelayOptions, queue_path: str,
                  .foreachBatch(batch_writer(queue_path, options, group, probe if gated else None,
                                            counters=f"{checkpoint_root}/counters"))
                  .option("checkpointLocation", f"{checkpoint_root}/{_stable_id(name)}")
-                 .trigger(**_trigger(options.controller_time_s if source is None else None))
+                 .trigger(**_trigger(None if once else options.controller_time_s))
                  .queryName(f"relay_{_stable_id(checkpoint_root + name)}")
                  .start())
             queries.append(q)
