@@ -8,7 +8,7 @@ a clamp scan (see ``operators.scan``) and splits across chunks of a hot topic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scan import clamp_scan
@@ -22,11 +22,16 @@ def gauge_samples(events: DataFrame) -> DataFrame:
 
 
 def pressure_timeline(samples: DataFrame, step: int = 1000, threshold: int = 700,
-                      ceiling: int = 1_000_000, chunked: bool | None = None) -> DataFrame:
+                      ceiling: int = 1_000_000, chunked: bool | None = None,
+                      start: Column | None = None) -> DataFrame:
+    """Gauge after every sample; where ``start`` is not NULL the row is no sample and sets the gauge to it."""
     reset = F.col("len") == 0
     d = F.when(reset, F.lit(0)).when(F.col("len") >= threshold, F.lit(step)).otherwise(F.lit(-step))
     hi = F.when(reset, F.lit(0)).otherwise(F.lit(ceiling))
-    return clamp_scan(samples, ["topic"], ["seq"], d, F.lit(0), hi, "gauge", chunked=chunked)
+    lo = F.lit(0)
+    if start is not None:
+        d, lo, hi = F.when(start.isNotNull(), F.lit(0)).otherwise(d), F.coalesce(start, lo), F.coalesce(start, hi)
+    return clamp_scan(samples, ["topic"], ["seq"], d, lo, hi, "gauge", chunked=chunked)
 
 
 def pressure_gauge(samples: DataFrame, step: int = 1000, threshold: int = 700,

@@ -296,6 +296,28 @@ def queue_depth_timeline(spark, sf):
     return q.depth_timeline(q.queue_ops(_arrivals(spark, sf), prefix=OPTIONS.prefix_redis))
 
 
+def _in_two_parts(line, rows, order):
+    """``line`` extended by the first 99 % of the order keys' range, then by the rest."""
+    cut = F.lit((rows.agg(F.max(order)).first()[0] or 0) * 99 // 100)
+    line.extend(0, rows.where(F.col(order) <= cut))
+    line.extend(1, rows.where(F.col(order) > cut))
+    return line.read()
+
+
+def depth_timeline_kept(spark, sf):
+    from ..session import scratch_path
+    from ..sinks.timelines import kept_depth_timeline
+    ops = q.queue_ops(_arrivals(spark, sf), prefix=OPTIONS.prefix_redis)
+    return _in_two_parts(kept_depth_timeline(spark, scratch_path(spark, "kept-depth")), ops, "op_seq")
+
+
+def pressure_timeline_kept(spark, sf):
+    from ..session import scratch_path
+    from ..sinks.timelines import kept_pressure_timeline
+    samples = gauge.gauge_samples(table(spark, sf, "events"))
+    return _in_two_parts(kept_pressure_timeline(spark, scratch_path(spark, "kept-gauge")), samples, "seq")
+
+
 def gate_state_q(spark, sf):
     return _gate_state(_arrivals(spark, sf))
 
@@ -411,6 +433,8 @@ QUERIES: dict[str, Query] = {
     "queue_remaining": queue_remaining,
     "queue_position": queue_position,
     "queue_depth_timeline": queue_depth_timeline,
+    "depth_timeline_kept": depth_timeline_kept,
+    "pressure_timeline_kept": pressure_timeline_kept,
     "gate_state": gate_state_q,
     "gate_transitions": gate_transitions_q,
     "lag_timeline": lag_timeline,

@@ -283,3 +283,7 @@ SELECT topic, "partition", CAST(count(*) AS BIGINT) AS seen,
        max(CASE WHEN is_open THEN "offset" END) AS last_pushed_offset
 FROM gated GROUP BY topic, "partition\"""",
 }
+
+# a kept timeline equals one scan over all rows
+SQL["depth_timeline_kept"] = SQL["queue_depth_timeline"]
+SQL["pressure_timeline_kept"] = SQL["pressure_timeline"]
