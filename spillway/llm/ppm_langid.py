@@ -14,15 +14,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import pin
 from .common import held_out
 
 ORDER = 3
-MAX_DOCS = 400  # training documents of a language at most (by hash order) ...
-MAX_BYTES = 1_500_000  # ... and their characters together; where they have more, the longest give an equal share each
-CHUNK = 1 << 18  # bytes scored at once
+MAX_CODES = 1 << 17  # four-byte codes a language's model keeps at most: its most frequent ones, down to a power of two
+HELD_CODES = 1 << 21  # codes that a counting task holds before it hands them on
+CHUNK = 1 << 18  # bytes counted or scored at once
 PAD = b"\0" * ORDER
 
 
@@ -68,13 +69,29 @@ def _codes(raw: np.ndarray) -> np.ndarray:
     return (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
 
 
-def count_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct four-byte codes (context and symbol) of the texts and their counts."""
-    got = [np.unique(_codes(np.frombuffer(PAD + text_bytes(t), np.uint8)), return_counts=True) for t in texts if t]
-    if not got:
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and counts of all parts, each code once and in order."""
+    if not parts:
         return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    keys, inverse = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
-    return keys, np.bincount(inverse, np.concatenate([g[1] for g in got])).astype(np.int64)
+    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    counts = np.zeros(len(keys), np.int64)
+    np.add.at(counts, inverse, np.concatenate([c for _, c in parts]))
+    return keys, counts
+
+
+def count_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct four-byte codes (context and symbol) of the whole texts and their counts, in chunks of bounded size."""
+    parts = [PAD + text_bytes(t) for t in texts]
+    flat = np.frombuffer(b"".join(parts), np.uint8)
+    symbol = np.ones(len(flat), bool)
+    starts = np.cumsum([0] + [len(p) for p in parts[:-1]]) if parts else np.zeros(0, np.int64)
+    for i in range(len(PAD)):
+        symbol[starts + i] = False
+    got = []
+    for a in range(0, len(flat) - 3, CHUNK):
+        z = min(a + CHUNK, len(flat) - 3)
+        got.append(np.unique(_codes(flat[a:z + 3])[symbol[a + 3:z + 3]], return_counts=True))
+    return _merged(got)
 
 
 class Model:
@@ -146,33 +163,53 @@ class Model:
         return total
 
 
+def _count_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(l, k, c): the codes of a task's texts by language, handed on whenever HELD_CODES are held."""
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def out() -> Iterator[pd.DataFrame]:
+        for lang, parts in held.items():
+            keys, counts = _merged(parts)
+            for a in range(0, len(keys), CHUNK):
+                yield pd.DataFrame({"l": lang, "k": keys[a:a + CHUNK].astype(np.int64), "c": counts[a:a + CHUNK]})
+        held.clear()
+
+    for pdf in batches:
+        for lang, own in pdf.groupby("l", sort=False):
+            held[lang] = [_merged([*held.get(lang, []), count_codes(own["t"].tolist())])]
+        if sum(len(parts[0][0]) for parts in held.values()) > HELD_CODES:
+            yield from out()
+    yield from out()
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          fold: tuple[int, int] = (3, 1), max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Model:
-    """Model of a bounded sample: for each language, up to ``max_docs`` documents in the order of their hash, none of
-    them in the held-out fold. Their texts are taken whole if they fit into ``max_bytes`` characters; else the
-    longest are read up to the length at which all fit, so no text pushes another out or exceeds the bound."""
+          fold: tuple[int, int] = (3, 1), max_codes: int = MAX_CODES) -> Model:
+    """Model of all labelled documents outside the held-out fold, their texts whole.
+
+    Every task counts the four-byte codes of its texts by language, and the counts are summed by (language, code). A
+    model is broadcast, so a language keeps at most ``max_codes`` codes: those seen at least as often as the
+    smallest power of two that so many reach (of one power with more, a share by hash). A language without a single byte of text is not learned."""
     part, out = fold
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (F.length(text_col) > 0)
                       & ~held_out(F.col(id_col), part, out))
-    rows = rows.select(F.col(id_col).alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
-    order = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i", "size")
-    sizes = rows.select("i", "l", F.length("t").alias("size")).withColumn("r", F.row_number().over(order))
-    # window with a row limit: every task keeps its first max_docs rows of a language, so no language meets in one task
-    sizes = sizes.where(F.col("r") <= max_docs)
-    # by size: what the shorter texts leave, in equal parts for the others; the largest such part is the length at which all fit
-    whole, by_size = Window.partitionBy("l"), Window.partitionBy("l").orderBy("size", "r")
-    left = max_bytes - (F.sum("size").over(by_size) - F.col("size"))
-    share = F.floor(left / (F.count("size").over(whole) - F.row_number().over(by_size) + 1))
-    chosen = sizes.withColumn("share", share).select("i", "l", F.greatest(F.max("share").over(whole), F.lit(1)).cast("int").alias("upto"))
-    texts = rows.join(F.broadcast(chosen.distinct()), ["i", "l"])  # max_docs ids a language
-    texts = texts.select("l", F.left("t", F.col("upto")).alias("t"))
-
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = count_codes(pdf["t"].tolist())
-        return pd.DataFrame({"l": [pdf["l"].iloc[0]], "k": [keys.tobytes()], "c": [counts.tobytes()]})
-
-    got = texts.groupBy("l").applyInPandas(count, "l string, k binary, c binary").orderBy("l").collect()
-    return Model([r.l for r in got], [(np.frombuffer(r.k, np.uint32), np.frombuffer(r.c, np.int64)) for r in got])
+    rows = rows.select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
+    counted = rows.mapInPandas(_count_task, "l string, k bigint, c bigint").groupBy("l", "k").agg(F.sum("c").alias("c"))
+    counted = pin(counted, "language-codes")
+    bits = counted.groupBy("l", F.length(F.bin("c")).alias("b")).count().orderBy("l", F.desc("b")).collect()  # 63 rows a language at most
+    least: dict[str, tuple[int, int]] = {}
+    total: dict[str, int] = {}
+    for row in bits:
+        total[row["l"]] = total.get(row["l"], 0) + row["count"]
+        if total[row["l"]] <= max_codes or row["l"] not in least:  # the highest power alone may have too many: then a share of it
+            least[row["l"]] = (1 << (row["b"] - 1), -(-total[row["l"]] // max_codes))
+    if not least:
+        return Model([], [])
+    bounds = docs.sparkSession.createDataFrame([(lang, *bound) for lang, bound in least.items()], "l string, least bigint, every bigint")
+    kept = counted.join(F.broadcast(bounds), "l")  # one row a language
+    kept = kept.where((F.col("c") >= F.col("least")) & (F.pmod(F.xxhash64("k"), F.col("every")) == 0))
+    table = kept.select("l", "k", "c").toArrow().to_pandas().sort_values(["l", "k"])
+    parts = [(str(lang), own["k"].to_numpy(np.uint32), own["c"].to_numpy(np.int64)) for lang, own in table.groupby("l")]
+    return Model([lang for lang, _, _ in parts], [(k, c) for _, k, c in parts])
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",

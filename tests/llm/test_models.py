@@ -64,24 +64,48 @@ def test_language_id(spark, documents):
     assert ppm_langid.predict(documents([(1, "abc")]), ppm_langid.train(empty)).first().lang_pred == "und"
 
 
-@pytest.mark.parametrize("place", [0, 1, 18])
-def test_a_long_text_pushes_no_other_out_of_the_language_sample(spark, place):
+def test_language_model_counts_all_training_texts_whole(spark):
     rng = random.Random(5)
-    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1][:30]
-    order = [r.i for r in spark.createDataFrame([(i,) for i in ids], "i bigint").orderBy(F.xxhash64("i")).collect()]
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    out = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 == 1]
     text = {i: "".join(rng.choice("abc ") for _ in range(50)) for i in ids}
-    text[order[place]] = "z" * 1500 + "q" * 3500
-    other = {i + 1000: "".join(rng.choice("bcd ") for _ in range(50)) for i in range(60) if zlib.crc32(str(i + 1000).encode()) % 3 != 1}
-    docs = spark.createDataFrame([(i, t, "a") for i, t in text.items()] + [(i, t, "b") for i, t in other.items()], "doc_id bigint, text string, lang string")
-    model = ppm_langid.train(docs, max_docs=20, max_bytes=2000)
-    b = [r.i for r in spark.createDataFrame([(i,) for i in other], "i bigint").orderBy(F.xxhash64("i")).collect()][:20]
-    want = ppm_langid.Model(["a", "b"], [ppm_langid.count_codes([text[i][:2000 - 19 * 50] for i in order[:20]]), ppm_langid.count_codes([other[i] for i in b])])
-    probes = ["abc cab", "zzzz", "qqqq", "bcd dcb", *text.values()]
-    assert model.lengths(probes) == pytest.approx(want.lengths(probes))
+    text[ids[0]] = "z" * ppm_langid.CHUNK + "q" * 3500  # longer than a chunk: no other text suffers, its end counts too
+    other = {i + 1000: "".join(rng.choice("bcdé ") for _ in range(50)) for i in range(60) if zlib.crc32(str(i + 1000).encode()) % 3 != 1}
+    rows = [(i, t, "a") for i, t in text.items()] + [(i, t, "b") for i, t in other.items()] + [(i, "unseen", "a") for i in out]
+    rows += [(None, "nul", "a"), (ids[1] + 2000, None, "a"), (ids[2], "none", None), (ids[3], "", "c")]
+    model = ppm_langid.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5))
+    want = ppm_langid.Model(["a", "b"], [ppm_langid.count_codes(list(text.values())), ppm_langid.count_codes(list(other.values()))])
+    probes = ["abc cab", "zzzz", "qqqq", "bcd dcb", "unseen", "é", *list(text.values())[1:]]
+    assert model.languages == ["a", "b"] and model.lengths(probes) == pytest.approx(want.lengths(probes))
     assert model.lengths(["abc cab a bca"]).argmin() == 0
-    two = spark.createDataFrame([(ids[0], "x" * 9000, "a"), (ids[1], "xy" * 4500, "a")], docs.schema)
-    want = ppm_langid.Model(["a"], [ppm_langid.count_codes(["x" * 1000, "xy" * 500])])
-    assert ppm_langid.train(two, max_bytes=2000).lengths(["xxyy"]) == pytest.approx(want.lengths(["xxyy"]))
+
+
+def test_counted_codes_equal_a_plain_count():
+    texts = ["", "a", "abcabcabc", "x" * (ppm_langid.CHUNK + 7), "éa\0b"]
+    plain = {}
+    for t in texts:
+        raw = ppm_langid.PAD + ppm_langid.text_bytes(t)
+        for i in range(3, len(raw)):
+            code = int.from_bytes(raw[i - 3:i + 1], "big")
+            plain[code] = plain.get(code, 0) + 1
+    keys, counts = ppm_langid.count_codes(texts)
+    assert dict(zip(keys.tolist(), counts.tolist())) == plain
+    assert len(ppm_langid.count_codes([])[0]) == 0
+
+
+def test_language_model_keeps_the_most_frequent_codes(spark):
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rng = random.Random(6)
+    rare = "".join(chr(rng.randint(97, 122)) for _ in range(3000))
+    docs = spark.createDataFrame([(ids[0], "abab" * 500, "a"), (ids[1], rare, "a"), (ids[2], rare, "b")], "doc_id bigint, text string, lang string")
+    codes = lambda t: dict(zip(*(x.tolist() for x in ppm_langid.count_codes(t))))
+    keep = {k: c for k, c in codes(["abab" * 500, rare]).items() if c >= 512}
+    model = ppm_langid.train(docs, max_codes=100)
+    assert 2 <= len(keep) <= 100
+    table = model.cost[ppm_langid.ORDER]
+    assert model.languages == ["a", "b"] and len(table) < 400  # b: one power holds more than 100, so a share of it stays
+    found = model.index[ppm_langid.ORDER].find(np.array(list(keep), np.uint32))
+    assert (found >= 0).all() and model.lengths(["abababab"])[0].argmin() == 0
 
 
 def test_quality_classifier(spark, documents):
