@@ -341,6 +341,11 @@ def relay_stream(spark, sf):
     return run(spark, _messages(spark, sf), OPTIONS)
 
 
+def relay_runs(spark, sf):
+    from ..streaming.relay import relay_runs as run
+    return run(spark, _messages(spark, sf), OPTIONS)
+
+
 def lag_stream(spark, sf):
     from ..streaming.lag import lag_stream as run
     return run(spark, _offsets(spark, sf))
@@ -441,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "lag_timeline_dense": lag_timeline_dense,
     # streaming and state
     "relay_stream": relay_stream,
+    "relay_runs": relay_runs,
     "lag_stream": lag_stream,
     "lag_service": lag_service,
     "pressure_gauge": pressure_gauge_q,

@@ -17,6 +17,13 @@ def pinned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def fits_broadcast(pinned: DataFrame) -> bool:
+    """Whether a pinned table is within the byte and the row limit of a broadcast."""
+    spark = pinned.sparkSession
+    return (pinned_bytes(pinned) <= conf_int(spark, CONF_BROADCAST_BYTES, DEFAULT_BROADCAST_BYTES)
+            and pinned.count() <= conf_int(spark, CONF_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS))
+
+
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
                 label: str = "lookup", null_safe: bool = False) -> DataFrame:
     """Join ``big`` with a derived lookup table ``small``.
@@ -29,8 +36,7 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "lef
     ``null_safe`` a NULL key matches a NULL key (``<=>``), as in grouping.
     """
     small = pin(small, label)
-    limit = conf_int(big.sparkSession, CONF_BROADCAST_ROWS, DEFAULT_BROADCAST_ROWS)
-    broadcast = pinned_bytes(small) <= conf_int(big.sparkSession, CONF_BROADCAST_BYTES, DEFAULT_BROADCAST_BYTES) and small.count() <= limit
+    broadcast = fits_broadcast(small)
     if not null_safe:
         return big.join(F.broadcast(small) if broadcast else small, on, how)
     keyed = small.select(*[F.col(c).alias(f"_key_{c}") if c in on else F.col(c)

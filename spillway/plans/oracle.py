@@ -205,6 +205,8 @@ WHERE topic IS NULL""",
     "deferred": _with(MESSAGES, GATE, GATED) + f"SELECT {MSG_COLS} FROM gated WHERE NOT is_open",
     "relay_batch": _with(MESSAGES, ROUTED, RELAY)
     + 'SELECT queue, pos, payload, topic, "partition", "offset", batch_id FROM relay',
+    "relay_runs": _with(MESSAGES, ROUTED, RELAY)
+    + 'SELECT queue, pos, payload, topic, "partition", "offset", batch_id FROM relay',
     "latest_offset": _with(MESSAGES, LEDGER, LATEST) + "SELECT * FROM latest",
     "topic_lag": _with(MESSAGES, LEDGER, LATEST, LAG) + "SELECT topic, lag FROM lag_tbl",
     "partition_lag": _with(MESSAGES, LEDGER, WATERMARKS, NEXT_POS) + """

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from ..operators.queue import route, with_positions
 from ..operators.routing import rejected_records, valid_records
 from ..options import RelayOptions
-from ..session import scratch_path
+from ..session import CONF_GROUP_ROWS, DEFAULT_GROUP_ROWS, conf_int, scratch_path
+from ..sinks.batch_runs import StagedBatch
 from ..sinks.claims import record_pushes
 from ..sinks.entries import Entries, folder_of, newest_of_each
 from ..sinks.queue_sink import claim_writers, path_exists, read_queue, with_retry, write_queue
@@ -52,9 +53,11 @@ def wait_until_open(queue: str, probe: DepthProbe, cache_size: int, poll_s: floa
 def batch_writer(path: str, options: RelayOptions, topics: tuple[str, ...],
                  probe: DepthProbe | None = None,
                  fault: Callable[[int, int], None] | None = None,
-                 retries: list | None = None, counters: str | None = None):
+                 retries: list | None = None, counters: str | None = None, runs: bool | None = None):
     """``foreachBatch`` function: gate wait for every queue of the group, then
-    an idempotent queue write. Records without a topic are counted and go, with the
+    an idempotent queue write. Positions come from one window a topic, or, with ``runs`` (by default where a
+    trigger may take more than ``spillway.scan.maxGroupRows`` records), from sorted runs over many tasks; both
+    give the same table. Records without a topic are counted and go, with the
     reason, to the table ``<path>-rejected``. The kept totals of the queues and the writer's
     ``counters`` are replaced by a replay."""
     queues = [options.queue_of(t) for t in topics]
@@ -64,12 +67,18 @@ def batch_writer(path: str, options: RelayOptions, topics: tuple[str, ...],
         if probe is not None:
             for queue in queues:  # a group waits for its fullest queue
                 wait_until_open(queue, probe, options.cache_size, options.controller_time_s)
-        tries = {"n": 0, "row": None}
+        tries = {"n": 0, "row": None, "rows": batch}
+        sorted_runs = options.max_records_per_trigger > conf_int(spark, CONF_GROUP_ROWS, DEFAULT_GROUP_ROWS) if runs is None else runs
 
         def attempt() -> None:
             tries["n"] += 1
             if fault is not None:
                 fault(batch_id, tries["n"])
+            if sorted_runs:
+                staged = StagedBatch(batch, f"{path}-staging/{folder_of('+'.join(topics))}")
+                tries["row"], tries["rows"] = staged.counts(topics), staged.rows
+                write_queue(route(staged.positioned(), options.prefix_redis, batch_id=batch_id, keep=["pos"]), path, clustered=True)
+                return
             seen = Observation()  # counted while the rows are written: the batch is read once
             own = [F.count_if(F.col("topic") == t).alias(f"n{i}") for i, t in enumerate(topics)]
             watched = batch.observe(seen, *_batch_counts(), *own)
@@ -83,7 +92,7 @@ def batch_writer(path: str, options: RelayOptions, topics: tuple[str, ...],
         used = with_retry(attempt, options.sink_max_attempts, options.sink_retry_delay_s)
         counted = tries["row"]
         if counted["rejected"]:
-            write_rejected(batch, "+".join(topics), batch_id, rejected_of(path))
+            write_rejected(tries["rows"], "+".join(topics), batch_id, rejected_of(path))
         record_pushes(spark, path, [(q, batch_id, counted[f"n{i}"]) for i, q in enumerate(queues)])
         if counters is not None:
             _put_counters(spark, counted, "+".join(topics), batch_id, counters)
@@ -133,7 +142,7 @@ def group_stream(spark: SparkSession, staged: str, group: tuple[str, ...],
 def run_relay(spark: SparkSession, staged: str, topics: tuple[str, ...], options: RelayOptions,
               sink: str, checkpoint_root: str, probe: DepthProbe | None = None,
               fault: Callable[[int, int], None] | None = None, files_per_trigger: int = 1,
-              retries: list | None = None, topics_per_query: int = 1
+              retries: list | None = None, topics_per_query: int = 1, runs: bool | None = None
               ) -> dict[str, dict[str, int]]:
     """Start one query per topic group, drain everything available, wait for
     all; returns the counters of every group, over all its batches."""
@@ -146,7 +155,7 @@ def run_relay(spark: SparkSession, staged: str, topics: tuple[str, ...], options
             name = "+".join(group)
             stream = observe_relay(group_stream(spark, staged, group, files_per_trigger), name)
             q = (stream.writeStream
-                 .foreachBatch(batch_writer(sink, options, group, probe, fault, retries, counters))
+                 .foreachBatch(batch_writer(sink, options, group, probe, fault, retries, counters, runs))
                  .option("checkpointLocation", f"{checkpoint_root}/{_stable_id(name)}")
                  .trigger(availableNow=True)
                  .queryName(f"relay_{_stable_id(checkpoint_root + name)}")
@@ -218,6 +227,16 @@ def relay_stream(spark: SparkSession, messages: DataFrame, options: RelayOptions
     return read_queue(spark, sink).select("queue", "payload", "topic", "partition", "offset")
 
 
+def relay_runs(spark: SparkSession, messages: DataFrame, options: RelayOptions, files: int = 4) -> DataFrame:
+    """R26 with all topics in one large batch, numbered by sorted runs: the queue table, with positions."""
+    staged = stage_files(messages, files=files, by_topic=True)
+    sink = scratch_path(spark, "runs-queue")
+    topics = staged_topics(spark, staged)
+    run_relay(spark, staged, topics, options, sink, scratch_path(spark, "runs-ckpt"), files_per_trigger=files * len(topics) * 1000,
+              topics_per_query=len(topics), runs=True)
+    return read_queue(spark, sink)
+
+
 def drain_messages(spark: SparkSession, messages: DataFrame, files: int = 4) -> DataFrame:
     """R01 drained: messages through a bounded file stream into a Parquet sink."""
     staged = stage_files(messages, files=files)
