@@ -162,6 +162,23 @@ def log_rewind(spark, sf):
                  F.max_by("offset", "seq").alias("latest_offset")))
 
 
+def list_sink(spark, sf):
+    """A topic log pushed to a list store in two runs of one stream; an item's place among those of its partition."""
+    from ..session import scratch_path
+    from ..sinks.list_sink import push_stream, read_lists
+    from ..sources.messages import FORMAL_CUT
+    from ..streaming.topic_log import append_log, drain, log_stream
+    log, lists, checkpoint = (scratch_path(spark, f"list-{x}") for x in ("topics", "store", "ckpt"))
+    msgs = _messages(spark, sf)
+    early = F.col("timestamp") < F.lit(FORMAL_CUT).cast("timestamp_ntz")
+    for part in (msgs.where(early), msgs.where(~early)):
+        append_log(part, log)
+        stream = q.route(log_stream(spark, log, max_records=10 * OPTIONS.max_records_per_trigger), OPTIONS.prefix_redis)
+        drain(push_stream(stream, lists, checkpoint).start())
+    items = read_lists(spark, lists)
+    return row_index(items, ["queue", "partition"], ["pos"], "place").select("queue", "partition", "offset", "place", "payload")
+
+
 # ------------------------------------------------------------- projections
 
 def msg_projection(spark, sf):
@@ -408,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "log_rewind": log_rewind,
     "ledger_all": ledger_all,
     "queue_append": queue_append,
+    "list_sink": list_sink,
     "queue_claim": queue_claim,
     "queue_depth_kept": queue_depth_kept,
     "queue_compacted": queue_compacted,

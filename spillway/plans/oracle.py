@@ -133,6 +133,8 @@ SELECT queue,
             - 1 AS BIGINT) AS pos,
        payload, topic, "partition", "offset", CAST(floor(seq / 1000) AS BIGINT) AS batch_id
 FROM routed""",
+    "list_sink": _with(MESSAGES, ROUTED)
+    + 'SELECT queue, "partition", "offset", "offset" AS place, payload FROM routed',
     "queue_claim": _with(MESSAGES, ROUTED, RELAY, PLACED)
     + f"SELECT {QUEUE_COLS}, CASE WHEN place <= 5 THEN 'one' ELSE 'two' END AS worker FROM placed WHERE place <= 10",
     "queue_depth_kept": _with(MESSAGES) + """

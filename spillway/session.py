@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,3 +101,28 @@ def ship(spark: SparkSession) -> None:
                     out.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(path)
     sc._spillway_shipped = True
+
+
+def file_system(path: str):
+    """The pyarrow file system of a shared folder and the folder's name in it; for Python sources and sinks, which have no JVM."""
+    from pyarrow import fs
+
+    if urlparse(path).scheme in ("", "file"):
+        return fs.LocalFileSystem(), urlparse(path).path
+    return fs.FileSystem.from_uri(path)
+
+
+def register_source(spark: SparkSession, source: type) -> None:
+    """Registers a Python data source. Spark plans a Python stream in a process of the driver that does not get the
+    shipped package: it finds it by path."""
+    ship(spark)
+    env = spark.sparkContext.environment
+    before = env.get("PYTHONPATH")
+    env["PYTHONPATH"] = os.pathsep.join([os.path.dirname(os.path.dirname(os.path.abspath(__file__))), *([before] if before else [])])
+    try:
+        spark.dataSource.register(source)  # takes the environment as it is now
+    finally:
+        if before is None:
+            del env["PYTHONPATH"]
+        else:
+            env["PYTHONPATH"] = before
