@@ -136,3 +136,22 @@ def test_chunked_scans_of_an_empty_table_and_of_tied_groups(spark):
     one = spark.createDataFrame([("a", 1, None), ("a", 2, 4)], "g string, o bigint, v bigint")
     sums = running_sum(one, ["g"], ["o"], F.col("v"), "x", chunked=True)
     assert sorted((r.o, r.x) for r in sums.collect()) == [(1, None), (2, 4)]
+
+
+def test_clamp_scan_holds_no_whole_group_and_passes_values_through(spark):
+    n, wide = 500, 2 ** 53 + 1  # not exact as a float
+    rows = [("g", i, (i * 13) % 9 - 4, None if i % 3 else wide + 2 * i) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, o bigint, v bigint, kept bigint").repartition(5)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        for chunked in (False, True):
+            out = clamp_scan(df, ["g"], ["o"], F.col("v"), F.lit(0), F.lit(6), "x", chunked=chunked)
+            got = sorted((r.o, r.x, r.kept) for r in out.collect())
+            assert [x for _, x, _ in got] == fold([(r[2], 0, 6) for r in rows])
+            assert [k for _, _, k in got] == [r[3] for r in rows]
+            if not chunked:
+                assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
