@@ -20,7 +20,8 @@ from .claims import oldest_kept
 from .entries import Entries, subfolders
 from .queue_sink import manifest_of, read_queue
 
-FILE_BYTES = 128 << 20
+FILE_BYTES = 32 << 20  # of the base, compressed; a task sorts one file's rows
+FILE_ROWS = 500_000  # and the most rows: well-compressed ones are far larger in a sort
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -69,7 +70,7 @@ def compact(spark: SparkSession, path: str, log: str, keep_batches: int = 2, str
     base = f"{path}-base/{number + 1}-{uuid.uuid4().hex[:8]}"
     size = sum(_bytes(spark, f) for q, own in folders.items() for b, f in own.items() if old_upto.get(q, -1) < b <= upto.get(q, -1))
     size += _bytes(spark, current["base"]) if current else 0
-    files = max(1, -(-size // FILE_BYTES))
+    files = max(1, -(-size // FILE_BYTES), -(-rows.count() // FILE_ROWS))
     (rows.select(*QUEUE_COLUMNS).repartitionByRange(files, "queue", *FIFO_KEY).sortWithinPartitions("queue", *FIFO_KEY)
      .write.parquet(base))
     if not manifest.put(number + 1, {"base": base, "upto": upto, "replaced": current.get("base")}):

@@ -173,6 +173,21 @@ def test_many_batches_leave_few_files(spark, table):
     assert keys(read_queue(spark, path)) == sorted(want)
 
 
+def test_a_task_of_a_compaction_sorts_a_bounded_number_of_rows(spark, table, monkeypatch):
+    path, log = table
+    rows = [(q, b, i) for q in ("a", "b") for b in range(6) for i in range(20)]
+    push(spark, path, rows)
+    monkeypatch.setattr(compaction, "FILE_ROWS", 40)
+    assert compaction.compact(spark, path, log)
+    base = Entries(spark, manifest_of(path)).newest()[1]["base"]
+    files = spark.read.parquet(base).groupBy(F.input_file_name().alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("queue", "batch_id", "pos")).alias("first"),
+        F.max(F.struct("queue", "batch_id", "pos")).alias("last")).orderBy("first").collect()
+    assert len(files) >= 4 and max(f.n for f in files) < 100 and sum(f.n for f in files) == 160
+    assert all(a.last < b.first for a, b in zip(files, files[1:]))
+    assert keys(read_queue(spark, path)) == sorted(rows)
+
+
 def test_compaction_drops_what_was_taken_and_keeps_claims_repeatable(spark, table):
     path, log = table
     rows = [("q", b, i) for b in range(10) for i in range(4)]
